@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inkloom.llm import bpe, sstable, token_counts, url_filter
+from inkloom.llm import bpe, minhash, sstable, token_counts, url_filter
 from inkloom.llm.common import shared_dir, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.encode_to_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), shared_dir(spark), end=1)
 
@@ -30,6 +34,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash": op4_minhash,
     "op5_token_shards": op5_token_shards,
     "op6_url_filter": op6_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
@@ -37,6 +42,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+sized AS MATERIALIZED (SELECT doc_id, len(s) AS n, s FROM sets),
+items AS MATERIALIZED (SELECT doc_id, n, md5_number(x) AS h FROM (SELECT doc_id, n, unnest(s) AS x FROM sized)),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.h = b.h AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sized UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
+FROM sized s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
+""",
     "op6_url_filter": r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN url IS NULL OR instr(url, '://') = 0 THEN ''
