@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inkloom.llm import bpe, minhash, sstable, token_counts, url_filter
+from inkloom.llm import bpe, cover_tree, minhash, sstable, token_counts, url_filter
 from inkloom.llm.common import shared_dir, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -25,6 +25,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_token_shards": op5_token_shards,
     "op6_url_filter": op6_url_filter,
+    "op8_cover_tree": op8_cover_tree,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_token_counts": op10_token_counts,
 }
@@ -70,5 +75,18 @@ hits AS (
   FROM parts JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
 SELECT p.page_id, host, path, rule, coalesce(v, 'allow') AS verdict
 FROM parts p LEFT JOIN hits h ON p.page_id = h.page_id AND k = 1
+""",
+    "op8_cover_tree": r"""
+WITH RECURSIVE vecs AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vecs a JOIN vecs b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, m.y AS component_id, e.vec_id = m.y AS kept
+FROM embeddings e JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) m ON m.x = e.vec_id LEFT JOIN counts c ON c.x = e.vec_id
 """,
 }
