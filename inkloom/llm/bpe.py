@@ -3,8 +3,8 @@
 A pre-token is a doubly linked list of byte pieces.  Every adjacent pair that
 the vocabulary can merge waits in the bucket of its rank; a bucket is a heap of
 list positions, so equal ranks merge from the left.  A bitmap over the ranks,
-with a bitmap over its words and so on up to one word, finds the lowest waiting
-rank by a few find-first-set steps.  Entries that a merge has made stale are
+in words, with a bitmap over those words above it, finds the lowest waiting rank
+by two find-first-set steps.  Entries that a merge has made stale are
 skipped when they surface.  The work for a pre-token of n bytes is
 O(n log n), whatever its length.
 """
@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -21,62 +23,22 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Pre-tokens remembered by a worker; when there are more, it starts afresh.
-CACHE_ENTRIES = 400_000
+#: Pre-tokens of a generation of a worker's cache; it keeps two, so frequent ones survive.
+CACHE_ENTRIES = 500_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small.
 CACHE_CHARS = 64
 
 
-class RankQueue:
-    """Positions by rank; pop gives the leftmost position of the lowest rank."""
+#: Ranks per word of the lower bitmap; the upper bitmap has a bit for each such word.
+SHIFT = 8
 
-    __slots__ = ("levels", "buckets")
 
-    def __init__(self, ranks: int):
-        self.levels: list[list[int]] = []
-        n = max(ranks, 1)
-        while True:
-            n = (n + 63) >> 6
-            self.levels.append([0] * n)
-            if n == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:
-            word = at >> 6
-            old = level[word]
-            level[word] = old | (1 << (at & 63))
-            if old:
-                return
-            at = word
-
-    def pop(self) -> tuple[int, int] | None:
-        levels = self.levels
-        if not levels[-1][0]:
-            return None
-        at = 0
-        for level in reversed(levels):
-            word = level[at]
-            at = (at << 6) | ((word & -word).bit_length() - 1)
-        bucket = self.buckets[at]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            bit = at
-            for level in levels:
-                word = bit >> 6
-                level[word] &= ~(1 << (bit & 63))
-                if level[word]:
-                    break
-                bit = word
-        return at, position
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class ByteBPE:
@@ -86,8 +48,12 @@ class ByteBPE:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.size = max(ranks.values(), default=0) + 1
-        self.strings = {i: s for s, i in ranks.items()}
-        self.queue = RankQueue(self.size)
+        self.strings: list[bytes] = [b""] * self.size
+        for string, rank in ranks.items():
+            self.strings[rank] = string
+        self.words = [0] * ((self.size >> SHIFT) + 1)
+        self.bit = [1 << i for i in range(max(1 << SHIFT, len(self.words)))]
+        self.buckets: list[int | list[int] | None] = [None] * self.size
         self.cache = _Cache(self)
 
     @classmethod
@@ -96,47 +62,77 @@ class ByteBPE:
             return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}, pattern)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
+        """Ids of one pre-token.
+
+        The queue's words and buckets are the object's own and empty between
+        calls.  A bucket with one position is that position, else a heap.
+        """
         ranks = self.ranks
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
         n = len(piece)
-        end = list(range(1, n + 1))  # end of the piece that starts here; 0 when it was merged away
+        end = list(range(1, n + 1))  # end of the piece that starts here
         before = list(range(-1, n - 1))
-        waiting = [-1] * n  # rank of the pair that starts here
-        queue, get = self.queue, ranks.get
-        push, pop = queue.push, queue.pop
-        for i in range(n - 1):
-            rank = get(piece[i : i + 2])
-            if rank is not None:
+        waiting: list[int | None] = [None] * n  # rank of the pair that starts here
+        get, words, buckets, bit, low_mask = ranks.get, self.words, self.buckets, self.bit, (1 << SHIFT) - 1
+        upper = 0
+        fresh = [(get(piece[i : i + 2]), i) for i in range(n - 1)]
+        while True:
+            for rank, i in fresh:
                 waiting[i] = rank
-                push(rank, i)
-        while (top := pop()) is not None:
-            rank, i = top
-            if waiting[i] != rank:
-                continue
+                if rank is None:
+                    continue
+                bucket = buckets[rank]
+                if bucket is None:
+                    buckets[rank] = i
+                    w = rank >> SHIFT
+                    word = words[w]
+                    if not word:
+                        upper |= bit[w]
+                    words[w] = word | bit[rank & low_mask]
+                elif type(bucket) is int:
+                    buckets[rank] = [bucket, i] if bucket < i else [i, bucket]
+                else:
+                    heappush(bucket, i)
+            # the lowest rank: first set bit of the upper bitmap, then of its word; stale positions are skipped
+            while upper:
+                w = (upper & -upper).bit_length() - 1
+                word = words[w]
+                low = word & -word
+                top = (w << SHIFT) + low.bit_length() - 1
+                bucket = buckets[top]
+                if type(bucket) is int:
+                    i = bucket
+                    buckets[top] = None
+                    words[w] = word = word ^ low
+                    if not word:
+                        upper ^= bit[w]
+                else:
+                    i = heappop(bucket)
+                    if len(bucket) == 1:
+                        buckets[top] = bucket[0]
+                if waiting[i] == top:
+                    break
+            else:
+                break
             j = end[i]
             k = end[i] = end[j]
-            end[j], waiting[j] = 0, -1
+            waiting[j] = None
+            fresh = []
             if k < n:
                 before[k] = i
-                rank = get(piece[i : end[k]])
-                waiting[i] = -1 if rank is None else rank
-                if rank is not None:
-                    push(rank, i)
+                fresh.append((get(piece[i : end[k]]), i))
             else:
-                waiting[i] = -1
+                waiting[i] = None
             if i:
                 h = before[i]
-                rank = get(piece[h:k])
-                waiting[h] = -1 if rank is None else rank
-                if rank is not None:
-                    push(rank, h)
+                fresh.append((get(piece[h:k]), h))
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
+            k = end[i]
+            out.append(ranks[piece[i:k]])
+            i = k
         return out
 
     def encode(self, text: str) -> np.ndarray:
@@ -148,15 +144,22 @@ class ByteBPE:
 
 
 class _Cache(dict):
+    """Ids of pre-tokens; what the older generation still has is taken over when it is asked for."""
+
     def __init__(self, bpe: ByteBPE):
         self.bpe = bpe
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, token: str) -> bytes:
-        ids = np.array(self.bpe.merge(token.encode("utf-8")), dtype="<u4").tobytes()
-        if len(token) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[token] = ids
+        ids = self.older.get(token)
+        if ids is None:
+            ids = packed(self.bpe.merge(token.encode("utf-8")))
+            if len(token) > CACHE_CHARS:
+                return ids
+        if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        self[token] = ids
         return ids
 
 
