@@ -21,14 +21,17 @@ ends the file with one.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,8 +45,8 @@ BLOOM_BITS_PER_KEY = 10
 BLOOM_HASHES = 7
 #: Ids of a shard, as bytes; a task goes on to another shard beyond it.
 SHARD_TARGET = 64 << 20
-#: White-space-free pieces of text whose ids a worker remembers; when there are more, it starts afresh.
-CACHE_ENTRIES = 400_000
+#: Pieces of a generation of a worker's memory; it keeps two, so frequent ones survive.
+CACHE_ENTRIES = 300_000
 CACHE_CHARS = 64
 
 
@@ -185,11 +188,16 @@ class Reader:
 
 
 class PieceEncoder:
-    """Ids of a text by the tokenizers library, which is asked once for each distinct piece between blanks.
-
-    The normaliser drops white space and the pre-tokenizer never joins across
-    it, so the ids of a text are those of its pieces in turn.  Only space and
-    line feed are cut at, which every definition of white space contains.
+    """Ids of whole texts by the tokenizers library, asked once for each distinct piece.
+
+    Where the tokenizer's own settings say that it normalises by NFC, single
+    blanks and lower case and then keeps only the matches of one pattern, none of
+    which holds white space, the ids of a text are those of its blank-free pieces in
+    turn, and those of a piece are those of its matches.  Pieces and matches are
+    remembered.  A piece is cut into matches here only if it is printable Latin
+    (below U+0250), where NFC changes nothing and lower case does not depend on
+    neighbours; others go to the library whole, and so do whole texts where the
+    settings are different.
     """
 
     def __init__(self, path: str):
@@ -197,27 +205,80 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.cache: dict[str, bytes] = {}
+        self.kind, self.code = ("<u2", "H") if self.width == 2 else ("<u4", "I")
+        self.pattern = self._pattern(json.loads(self.tokenizer.to_str()))
+        self.plain = regex.compile(r"(?:(?!<\|)[!-~\u00a1-\u024f])+")
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+
+    @staticmethod
+    def _pattern(settings: dict) -> regex.Pattern | None:
+        normal = [x.get("type") for x in (settings["normalizer"] or {}).get("normalizers", [])]
+        before = (settings["pre_tokenizer"] or {}).get("pretokenizers", [])
+        added = all(x["content"].startswith("<|") and not regex.search(r"\s", x["content"]) and not x["lstrip"] and not x["rstrip"] for x in settings["added_tokens"])
+        if normal != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in before] != ["Split", "ByteLevel"] or not added:
+            return None
+        split, level = before
+        if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+            return None
+        return regex.compile(split["pattern"]["Regex"])
+
+    def _ask(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text."""
+        for at in range(0, len(texts), 1024):
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
+                yield array(self.code, found.ids).tobytes()
+
+    def _ask_matches(self, matches: list[str]) -> Iterator[bytes]:
+        """Ids of each text that is one match of the pattern: many in one line, told apart by the library's word numbers."""
+        for at in range(0, len(matches), 256):
+            part = matches[at : at + 256]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = array(self.code, found.ids).tobytes()
+            edge = (np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1)) * self.width).tolist()
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                yield ids[lo:hi]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not remembered."""
+        plain, find = self.plain.fullmatch, self.pattern.findall
+        cut = {p: find(p.lower()) for p in new if plain(p)}
+        other = [p for p in new if p not in cut]
+        if len(self.words) > CACHE_ENTRIES:
+            self.older_words, self.words = self.words, {}
+        words = self.words
+        missing = set().union(*cut.values()).difference(words)
+        known = {w: self.older_words[w] for w in missing.intersection(self.older_words)}
+        words.update(known)
+        asked = list(missing.difference(known))
+        words.update(zip(asked, self._ask_matches(asked), strict=True))
+        one = words.__getitem__
+        found = {p: one(parts[0]) if len(parts) == 1 else b"".join(map(one, parts)) for p, parts in cut.items()}
+        found.update(zip(other, self._ask(other), strict=True))
+        for word in asked:
+            if len(word) > CACHE_CHARS:
+                del words[word]
+        return found
 
     def encode(self, texts: list[str | None], end: int | None) -> list[np.ndarray]:
+        tail = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
+        if self.pattern is None:
+            return [np.frombuffer(x + tail, dtype=self.kind) for x in self._ask([t or "" for t in texts])]
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        cache = self.cache
-        new = list({p for pieces in split for p in pieces if p not in cache})
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = list({p for pieces in split for p in pieces})
-        kind = "<u2" if self.width == 2 else "<u4"
-        held = []
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                cache[piece] = np.array(found.ids, dtype=kind).tobytes()
-                if len(piece) > CACHE_CHARS:
-                    held.append(piece)
-        tail = b"" if end is None else np.array([end], dtype=kind).tobytes()
-        out = [np.frombuffer(b"".join(map(cache.__getitem__, pieces)) + tail, dtype=kind) for pieces in split]
-        for piece in held:
-            del cache[piece]
+        if len(self.pieces) > CACHE_ENTRIES:
+            self.older, self.pieces = self.pieces, {"": b""}
+        pieces, older = self.pieces, self.older
+        new = set().union(*split).difference(pieces)
+        known = {p: older[p] for p in new.intersection(older)}
+        pieces.update(known)
+        learned = self._learn(list(new.difference(known)))
+        pieces.update(learned)
+        out = [np.frombuffer(b"".join(map(pieces.__getitem__, parts)) + tail, dtype=self.kind) for parts in split]
+        for piece in learned:
+            if len(piece) > CACHE_CHARS:
+                del pieces[piece]
         return out
 
 
