@@ -7,12 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inkloom.llm import bpe, cover_tree, minhash, sstable, token_counts, url_filter
+from inkloom.llm import bpe, cover_tree, decontaminate, licences, minhash, quality, sstable, token_counts, url_filter
 from inkloom.llm.common import shared_dir, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs)).drop("paragraphs")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -25,6 +34,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
@@ -38,9 +52,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op3_licence_scan": op3_licence_scan,
     "op4_minhash": op4_minhash,
     "op5_token_shards": op5_token_shards,
     "op6_url_filter": op6_url_filter,
+    "op7_quality": op7_quality,
     "op8_cover_tree": op8_cover_tree,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_token_counts": op10_token_counts,
