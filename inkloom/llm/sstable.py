@@ -22,6 +22,7 @@ ends the file with one.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -45,8 +46,8 @@ BLOOM_BITS_PER_KEY = 10
 BLOOM_HASHES = 7
 #: Ids of a shard, as bytes; a task goes on to another shard beyond it.
 SHARD_TARGET = 64 << 20
-#: Pieces of a generation of a worker's memory; it keeps two, so frequent ones survive.
-CACHE_ENTRIES = 300_000
+#: Matches of a generation of a worker's memory; it keeps two, so frequent ones survive.
+CACHE_ENTRIES = 500_000
 CACHE_CHARS = 64
 
 
@@ -196,8 +197,9 @@ class PieceEncoder:
     turn, and those of a piece are those of its matches.  Pieces and matches are
     remembered.  A piece is cut into matches here only if it is printable Latin
     (below U+0250), where NFC changes nothing and lower case does not depend on
-    neighbours; others go to the library whole, and so do whole texts where the
-    settings are different.
+    neighbours; a text that is all printable Latin is cut into matches at once.
+    Other pieces go to the library whole, and so do whole texts where the settings
+    are different.
     """
 
     def __init__(self, path: str):
@@ -207,9 +209,8 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind, self.code = ("<u2", "H") if self.width == 2 else ("<u4", "I")
         self.pattern = self._pattern(json.loads(self.tokenizer.to_str()))
-        self.plain = regex.compile(r"(?:(?!<\|)[!-~\u00a1-\u024f])+")
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.plain = re.compile(r"[\n -~\u00a1-\u024f]*")
+        self.latin = None if self.pattern is None else re.compile(self._on_latin(self.pattern.pattern))
         self.words: dict[str, bytes] = {}
         self.older_words: dict[str, bytes] = {}
 
@@ -225,6 +226,20 @@ class PieceEncoder:
             return None
         return regex.compile(split["pattern"]["Regex"])
 
+    @staticmethod
+    def _on_latin(pattern: str) -> str:
+        """The pattern with its classes spelled out below U+0250, for the faster matcher."""
+
+        def spelled(name: str) -> str:
+            return "".join(re.escape(chr(c)) for c in range(0x250) if regex.fullmatch(name, chr(c)))
+
+        for name in (r"\p{L}", r"\p{N}", r"\s"):
+            pattern = pattern.replace(name, spelled(name))
+        return pattern
+
+    def _is_plain(self, text: str) -> bool:
+        return self.plain.fullmatch(text) is not None and "<|" not in text
+
     def _ask(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text."""
         for at in range(0, len(texts), 1024):
@@ -241,44 +256,34 @@ class PieceEncoder:
             for lo, hi in zip(edge[:-1], edge[1:], strict=True):
                 yield ids[lo:hi]
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not remembered."""
-        plain, find = self.plain.fullmatch, self.pattern.findall
-        cut = {p: find(p.lower()) for p in new if plain(p)}
-        other = [p for p in new if p not in cut]
+    def _know(self, words: set[str]) -> list[str]:
+        """Have the ids of these matches in memory; gives those that are too long to stay."""
         if len(self.words) > CACHE_ENTRIES:
             self.older_words, self.words = self.words, {}
-        words = self.words
-        missing = set().union(*cut.values()).difference(words)
+        missing = words.difference(self.words)
         known = {w: self.older_words[w] for w in missing.intersection(self.older_words)}
-        words.update(known)
+        self.words.update(known)
         asked = list(missing.difference(known))
-        words.update(zip(asked, self._ask_matches(asked), strict=True))
-        one = words.__getitem__
-        found = {p: one(parts[0]) if len(parts) == 1 else b"".join(map(one, parts)) for p, parts in cut.items()}
-        found.update(zip(other, self._ask(other), strict=True))
-        for word in asked:
-            if len(word) > CACHE_CHARS:
-                del words[word]
-        return found
+        self.words.update(zip(asked, self._ask_matches(asked), strict=True))
+        return [w for w in asked if len(w) > CACHE_CHARS]
 
     def encode(self, texts: list[str | None], end: int | None) -> list[np.ndarray]:
         tail = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
         if self.pattern is None:
             return [np.frombuffer(x + tail, dtype=self.kind) for x in self._ask([t or "" for t in texts])]
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.older, self.pieces = self.pieces, {"": b""}
-        pieces, older = self.pieces, self.older
-        new = set().union(*split).difference(pieces)
-        known = {p: older[p] for p in new.intersection(older)}
-        pieces.update(known)
-        learned = self._learn(list(new.difference(known)))
-        pieces.update(learned)
-        out = [np.frombuffer(b"".join(map(pieces.__getitem__, parts)) + tail, dtype=self.kind) for parts in split]
-        for piece in learned:
-            if len(piece) > CACHE_CHARS:
-                del pieces[piece]
+        find = self.latin.findall
+        parts = [find(t.lower()) if t and self._is_plain(t) else None if t else [] for t in texts]
+        mixed = {i: texts[i].replace("\n", " ").split(" ") for i, p in enumerate(parts) if p is None}
+        pieces = set().union(*mixed.values())
+        cut = {p: find(p.lower()) for p in pieces if self._is_plain(p)}
+        other = list(pieces.difference(cut))
+        long = self._know(set().union(*(p for p in parts if p is not None), *cut.values()))
+        one = self.words.__getitem__
+        known = {p: b"".join(map(one, c)) for p, c in cut.items()}
+        known.update(zip(other, self._ask(other), strict=True))
+        out = [np.frombuffer((b"".join(map(one, p)) if p is not None else b"".join(map(known.__getitem__, mixed[i]))) + tail, dtype=self.kind) for i, p in enumerate(parts)]
+        for word in long:
+            del self.words[word]
         return out
 
 
