@@ -36,9 +36,9 @@ from inkloom.llm.induced_sort import CAP, suffix_array
 
 GRAM = 24
 #: Bytes of text that a task samples together.
-SLAB = 4 << 20
+SLAB = 2 << 20
 #: Bytes of contexts that one suffix sort takes.
-SHARD = 8 << 20
+SHARD = 3 << 20
 HOT_CONTEXTS = 1 << 16
 #: Stands for a null id; null ids come first.
 NULL_ID = -(1 << 63)
