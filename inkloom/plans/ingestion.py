@@ -54,7 +54,7 @@ def _messages(read):
 
 
 _EXPIRED = """m AS (SELECT event_id AS pos, ts, CASE event_type WHEN 'signup' THEN 'scrape' WHEN 'purchase' THEN 'process' WHEN 'view' THEN 'embed' ELSE 'default' END AS q, (SELECT max(ts) FROM events) AS now FROM events),
-x AS (SELECT pos, q AS old, CASE WHEN q <> 'default' AND epoch_us(now) - epoch_us(ts) > CASE q WHEN 'scrape' THEN 3600 WHEN 'process' THEN 7200 ELSE 14400 END * 1000000 THEN 'dlx.' || q ELSE q END AS queue FROM m)"""
+x AS (SELECT pos, q AS old, CASE WHEN q <> 'default' AND epoch_us(now) - epoch_us(ts) > CASE q WHEN 'scrape' THEN 3600 WHEN 'process' THEN 7200 ELSE 14400 END * 1000000::BIGINT THEN 'dlx.' || q ELSE q END AS queue FROM m)"""
 
 
 def _expired(read):
