@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkloom.functions.text import canonical_id, entry_id, squeeze
 
 #: Orders of a search; others count as the first.
 SORTS = {"submittedDate": "published", "lastUpdatedDate": "updated", "relevance": "score"}
 
-ENTRY = T._parse_datatype_string(
+ENTRY = (
     "id string, title string, summary string, published string, updated string, author array<struct<name:string>>, category array<struct<_term:string>>, "
     "link array<struct<_href:string,_title:string>>, doi string, journal_ref string"
 )
