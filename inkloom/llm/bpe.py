@@ -23,8 +23,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from inkloom.llm.common import released
+
 #: Pre-tokens of a generation of a worker's cache; it keeps two, so frequent ones survive.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small.
 CACHE_CHARS = 64
 
@@ -192,7 +194,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, decoded binary")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(lambda batches: released(run(batches)), f"id {kind}, ids array<int>, decoded binary")
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,4 +215,4 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col], docs[text_col].cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(docs[id_col], docs[text_col].cast("string").alias("text")).mapInArrow(lambda batches: released(run(batches)), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

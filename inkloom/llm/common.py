@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -36,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, after the last of which freed memory goes back to the system: workers live on and others need it."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser; a bijection."""
     x = x ^ (x >> U64(30))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import PUNCTUATED, U64, ByteRule, buffers, grams, runs, word_hashes
+from inkloom.llm.common import PUNCTUATED, U64, ByteRule, buffers, grams, released, runs, word_hashes
 
 MIN_MATCH = 5
 COVERAGE = 0.8
@@ -200,7 +200,7 @@ def _matcher(block: list[tuple], coverage: float, id_col: str, item_col: str, it
                         names=[id_col, item_col, "n_words", "n_covered", "coverage"],
                     )
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _seed_runs(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import PUNCTUATED, U64, ByteRule, buffers, runs, word_hashes
+from inkloom.llm.common import PUNCTUATED, U64, ByteRule, buffers, released, runs, word_hashes
 
 LABELLED = 5000
 UNLABELLED = 5000
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled
             yield pa.record_batch([batch.column(0), batch.column(5), pa.array([x.tobytes() for x in text], pa.binary()), pa.array([x.tobytes() for x in meta], pa.binary())], names=["doc_id", "quality", "a", "b"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    drawn = _view_rows(docs.join(F.broadcast(sample), "doc_id"), "quality").mapInArrow(run, f"doc_id {kind}, quality int, a binary, b binary")
+    drawn = _view_rows(docs.join(F.broadcast(sample), "doc_id"), "quality").mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, quality int, a binary, b binary")
     rows = sorted(((r["doc_id"], np.frombuffer(r["a"], dtype=np.float32), np.frombuffer(r["b"], dtype=np.float32), r["quality"]) for r in drawn.toLocalIterator()), key=lambda r: r[0])
     return Model([(a, b, int(q > 0)) for _, a, b, q in rows if q is not None], [(a, b) for _, a, b, q in rows if q is None])
 
@@ -211,7 +211,7 @@ def score(docs: DataFrame, model: Model, accept: float | None = None) -> DataFra
                 yield pa.record_batch([part.column(0), *(pa.array(np.round(found[:, k], 6)) for k in range(3)), pa.array(found[:, 2] >= least)], names=["doc_id", "text_score", "meta_score", "score", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _view_rows(docs).mapInArrow(run, f"doc_id {kind}, text_score double, meta_score double, score double, kept boolean")
+    return _view_rows(docs).mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, text_score double, meta_score double, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: Model, accept: float | None = None) -> DataFrame:
@@ -229,4 +229,4 @@ def keep_good(docs: DataFrame, model: Model, accept: float | None = None) -> Dat
                 good = model.scores(text_features(text, rule), meta_features(*(x.to_pylist() for x in rest)))[:, 2] >= least
                 yield part.filter(pa.array(good))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lambda batches: released(run(batches)), schema)

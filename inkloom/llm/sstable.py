@@ -21,6 +21,7 @@ ends the file with one.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,6 +51,8 @@ SHARD_TARGET = 64 << 20
 #: Matches of a generation of a worker's memory; it keeps two, so frequent ones survive.
 CACHE_ENTRIES = 500_000
 CACHE_CHARS = 64
+#: Bytes of text whose distinct matches are looked up together.
+ENCODE_BYTES = 6 << 20
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -79,10 +83,15 @@ def _read_varint(data, at: int) -> tuple[int, int]:
         shift += 7
 
 
-def _bits(key: bytes, n_bits: int) -> list[int]:
+def _halves(key: bytes) -> tuple[int, int]:
     h = xxhash.xxh3_128_intdigest(key)
-    a, b = h & (1 << 64) - 1, h >> 64 | 1
-    return [(a + i * b) % n_bits for i in range(BLOOM_HASHES)]
+    return h & (1 << 64) - 1, h >> 64 | 1
+
+
+def _bits(key: bytes, n_bits: int) -> list[int]:
+    """Places of a key in the filter; sums wrap at 64 bits."""
+    a, b = _halves(key)
+    return [((a + i * b) & (1 << 64) - 1) % n_bits for i in range(BLOOM_HASHES)]
 
 
 class Writer:
@@ -120,8 +129,10 @@ class Writer:
             self.body += struct.pack("<H", len(key)) + key + struct.pack("<QII", at, size, n)
         bloom_at = len(self.body)
         bits = np.zeros(max(64, BLOOM_BITS_PER_KEY * len(self.keys) + 7 & ~7), dtype=bool)
-        for key in dict.fromkeys(self.keys):
-            bits[_bits(key, len(bits))] = True
+        if self.keys:
+            digests = np.array([_halves(key) for key in dict.fromkeys(self.keys)], dtype=np.uint64)
+            for i in range(BLOOM_HASHES):
+                bits[(digests[:, 0] + np.uint64(i) * digests[:, 1]) % np.uint64(len(bits))] = True
         self.body += np.packbits(bits, bitorder="little").tobytes()
         first, last = (self.keys[0], self.keys[-1]) if self.keys else (b"", b"")
         footer = struct.pack("<QIQIHQQH", index_at, bloom_at - index_at, bloom_at, len(self.body) - bloom_at, BLOOM_HASHES, len(self.keys), self.tokens, self.width)
@@ -271,6 +282,7 @@ class PieceEncoder:
         tail = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
         if self.pattern is None:
             return [np.frombuffer(x + tail, dtype=self.kind) for x in self._ask([t or "" for t in texts])]
+        gc.disable()  # nothing here makes cycles, and the many strings are slow to look through
         find = self.latin.findall
         parts = [find(t.lower()) if t and self._is_plain(t) else None if t else [] for t in texts]
         mixed = {i: texts[i].replace("\n", " ").split(" ") for i, p in enumerate(parts) if p is None}
@@ -284,6 +296,7 @@ class PieceEncoder:
         out = [np.frombuffer((b"".join(map(one, p)) if p is not None else b"".join(map(known.__getitem__, mixed[i]))) + tail, dtype=self.kind) for i, p in enumerate(parts)]
         for word in long:
             del self.words[word]
+        gc.enable()
         return out
 
 
@@ -309,8 +322,11 @@ def write_shards(docs: DataFrame, path: str, out: str, end: int | None = 1, id_c
         encoder = _load(path)
         writer, held = Writer(encoder.width), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                until = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + ENCODE_BYTES, side="right")))
+                part, at = batch.slice(at, until - at), until
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist(), end), strict=True):
                     writer.add(key_of(doc_id), ids)
                     held += ids.nbytes
@@ -381,7 +397,7 @@ def digest_shards(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column(0):
                 reader = Reader(content.as_py())
                 shard, doc, start, count, crc, at = reader.first, [], [], [], [], 0
-                name = shard + struct.pack(">Q", zlib.crc32(content.as_py()))
+                name = shard + (reader.last_keys[-1] if reader.index else b"") + struct.pack(">Q", reader.tokens)
                 for key, ids in reader.scan():
                     doc.append(id_of(key))
                     start.append(at)

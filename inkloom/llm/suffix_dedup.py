@@ -25,20 +25,22 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkloom.llm.common import U64, buffers, cut, mix, random_words
+from inkloom.llm.common import U64, buffers, cut, mix, random_words, released
 from inkloom.llm.induced_sort import CAP, suffix_array
 
 GRAM = 24
-#: Bytes of text that a task samples together.
-SLAB = 2 << 20
+#: Bytes of text that a task samples at once, and whose blocks it compares before they go out.
+SAMPLE = 1 << 20
+SLAB = 6 << 20
 #: Bytes of contexts that one suffix sort takes.
-SHARD = 3 << 20
+SHARD = 3 << 19
 HOT_CONTEXTS = 1 << 16
 #: Stands for a null id; null ids come first.
 NULL_ID = -(1 << 63)
@@ -150,7 +152,7 @@ def _mark_rows(doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, size: np.ndarra
 
 
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, bytes and offsets of rows, about SLAB bytes at a time."""
+    """Ids, bytes and offsets of rows, about SAMPLE bytes at a time."""
     ids, parts, sizes, held = [], [], [], 0
 
     def slab():
@@ -161,13 +163,13 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
         data, offsets = buffers(batch.column(1))
         lo = 0
         while lo < len(doc):
-            hi = min(len(doc), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLAB - held, side="right")) - 1))
+            hi = min(len(doc), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SAMPLE - held, side="right")) - 1))
             ids.append(doc[lo:hi])
             parts.append(data[offsets[lo] : offsets[hi]])
             sizes.append(np.diff(offsets[lo : hi + 1]))
             held += int(offsets[hi] - offsets[lo])
             lo = hi
-            if held >= SLAB:
+            if held >= SAMPLE:
                 yield slab()
                 ids, parts, sizes, held = [], [], [], 0
     if ids:
@@ -175,48 +177,57 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _sampled(length: int, buckets: int):
-    """Blocks of all windows of a slab, without those that repeat as a whole within it, which are marked."""
+    """Blocks of all windows, without those that repeat as a whole within a slab, which are marked."""
     pieces, gram_pieces, w = _pieces(length), _pieces(GRAM), length - GRAM + 1
 
+    def blocks(doc: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Anchor's hash, context's hash, id, tag, first window and windows after it of each block."""
+        n = len(data)
+        sizes = np.diff(offsets)
+        tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], dtype=np.int64)
+        parts = _doubles(data)
+        gram = _joined(parts, slice(None), gram_pieces, n)
+        bits = max(int(n).bit_length(), 1)
+        best = _window_min((gram >> U64(bits) << U64(bits)) | np.arange(n, dtype=np.uint64), w)
+        # starts of windows, document by document
+        count = np.maximum(sizes - length + 1, 0)
+        total = int(count.sum())
+        start = np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(offsets[:-1], count)
+        anchor = (best[start] & U64((1 << bits) - 1)).astype(np.int64)
+        row = np.repeat(np.arange(len(doc)), count)
+        head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]))
+        lo, hi, q, row = start[head], start[np.append(head[1:], total) - 1], anchor[head], row[head]
+        whole = mix(_joined(parts, lo, pieces, n)) * _STEP[1] + _joined(parts, hi, pieces, n)
+        context = mix(mix(whole) + (hi - lo).astype(np.uint64) * _STEP[2] + (q - lo).astype(np.uint64) * _STEP[3])
+        return [gram[q], context, doc[row], tags[row], lo - offsets[row], (hi - lo).astype(np.int32)]
+
+    def sent(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        core, context, doc, tag, lo, span = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((lo, tag, doc, context, core))
+        core, context, doc, tag, lo, span = (c[order] for c in (core, context, doc, tag, lo, span))
+        again = np.append(False, (core[1:] == core[:-1]) & (context[1:] == context[:-1]))
+        out = _mark_rows(doc[again], tag[again], lo[again], span[again] + length, buckets)
+        keep = np.flatnonzero(~again)
+        keep = keep[np.lexsort((lo[keep], tag[keep], doc[keep]))]
+        cols = [c[keep] for c in (core, context, doc, tag, lo, span)]
+        out += [(BLOCKS, b, x) for b, x in _by_bucket((cols[0] % U64(buckets)).astype(np.int64), cols)]
+        for at in range(0, len(out), 64):
+            yield _batch(out[at : at + 64])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for doc, data, offsets in _slabs(batches):
-            n = len(data)
-            sizes = np.diff(offsets)
-            if not (sizes >= length).any():
-                continue
-            parts = _doubles(data)
-            gram = _joined(parts, slice(None), gram_pieces, n)
-            bits = max(int(n).bit_length(), 1)
-            keyed = (gram >> U64(bits) << U64(bits)) | np.arange(n, dtype=np.uint64)
-            best = _window_min(keyed, w)
-            # starts of windows, document by document
-            count = np.maximum(sizes - length + 1, 0)
-            total = int(count.sum())
-            start = np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(offsets[:-1], count)
-            anchor = (best[start] & U64((1 << bits) - 1)).astype(np.int64)
-            row = np.repeat(np.arange(len(doc)), count)
-            head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]))
-            lo, hi, q, row = start[head], start[np.append(head[1:], total) - 1], anchor[head], row[head]
-            core = gram[q]
-            whole = mix(_joined(parts, lo, pieces, n)) * _STEP[1] + _joined(parts, hi, pieces, n)
-            context = mix(mix(whole) + (hi - lo).astype(np.uint64) * _STEP[2] + (q - lo).astype(np.uint64) * _STEP[3])
-            tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], dtype=np.int64)
-            place = np.lexsort((tags, doc))  # rows in order of id
-            rank = np.empty(len(doc), dtype=np.int64)
-            rank[place] = np.arange(len(doc))
-            order = np.lexsort((lo, rank[row], context, core))
-            core, context, row, lo, hi = core[order], context[order], row[order], lo[order], hi[order]
-            again = np.append(False, (core[1:] == core[:-1]) & (context[1:] == context[:-1]))
-            own = lo - offsets[row]
-            out = _mark_rows(doc[row[again]], tags[row[again]], own[again], (hi - lo)[again] + length, buckets)
-            keep = np.flatnonzero(~again)
-            keep = keep[np.lexsort((own[keep], rank[row[keep]]))]
-            cols = [core[keep], context[keep], doc[row[keep]], tags[row[keep]], own[keep], (hi - lo)[keep].astype(np.int32)]
-            out += [(BLOCKS, b, x) for b, x in _by_bucket((core[keep] % U64(buckets)).astype(np.int64), cols)]
-            for at in range(0, len(out), 64):
-                yield _batch(out[at : at + 64])
+            if (np.diff(offsets) >= length).any():
+                held.append(blocks(doc, data, offsets))
+            size += len(data)
+            if size >= SLAB:
+                yield from sent(held)
+                held, size = [], 0
+        yield from sent(held)
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -258,7 +269,7 @@ def _resolved(length: int, buckets: int, hot: int):
             for at in range(0, len(out), 64):
                 yield _batch(out[at : at + 64])
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _cut_contexts(length: int, buckets: int):
@@ -323,7 +334,7 @@ def _cut_contexts(length: int, buckets: int):
                     size = 0
         yield from flush()
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _sorted(length: int, buckets: int, base: int, memory: int):
@@ -382,7 +393,7 @@ def _sorted(length: int, buckets: int, base: int, memory: int):
                     yield _batch(rows)
                 lo = hi
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _spans(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -428,7 +439,7 @@ def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_
     rest = [c for c in docs.columns if c not in (id_col, text_col)] if carry else []
     met = _joined_with_texts(marks, docs, buckets, id_col, text_col, rest)
     kind = docs.schema[id_col].dataType.simpleString()
-    fields = f"doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema = T._parse_datatype_string(fields)
     if carry:
         schema = schema.add("spans", T.ArrayType(T.LongType())).add("raw", T.BinaryType()).add("rest", met.schema["rest"].dataType)
@@ -481,7 +492,7 @@ def _finished(carry: bool):
                     names += ["spans", "raw", "rest"]
                 yield pa.record_batch(cols, names=names)
 
-    return run
+    return lambda batches: released(run(batches))
 
 
 def dedup(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
@@ -491,6 +502,8 @@ def dedup(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_co
     """
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     null = "_text_is_null"
+    while null in docs.columns:
+        null += "_"
     marked = docs.withColumn(null, F.col(text_col).isNull())
     found = removed(marked, length, id_col, text_col, carry=True)
 
@@ -508,8 +521,6 @@ def dedup(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_co
                 at = y
             kept.append(text[at:])
             out.append(b"".join(kept).decode("utf-8", "replace"))
-        import pandas as pd
-
         return pd.Series(out)
 
     text = F.when(F.col(f"rest.{null}"), None).otherwise(F.when(F.size("spans") == 0, F.col("raw").cast("string")).otherwise(cut_text("raw", "spans")))
