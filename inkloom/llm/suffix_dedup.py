@@ -351,6 +351,8 @@ def _sorted(length: int, buckets: int, base: int, memory: int):
         equal[0] = False
         group = np.cumsum(~equal)
         some = np.flatnonzero(whole & (equal | np.append(equal[1:], False)))
+        if not len(some):
+            return []
         group, owner, start = group[some], owner[some], lo[owner[some]] + within[some]
         rank = np.lexsort((start, tag[owner], doc[owner], group))
         later = rank[np.append(False, group[rank][1:] == group[rank][:-1])]

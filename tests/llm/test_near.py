@@ -82,7 +82,7 @@ def brute_vectors(rows, least):
         first[r[0]] = min(x[0] for x, j in zip(good, root, strict=True) if j == k)
     out = []
     for r in rows:
-        n = sum(near(r, x) for x in good if x[0] != r[0]) if r in good else 0
+        n = int(sum(near(r, x) for x in good if x[0] != r[0])) if any(r is x for x in good) else 0
         whole = first.get(r[0], r[0])
         out.append(str((r[0], n, whole, r[0] is None or whole == r[0])))
     return sorted(out)
