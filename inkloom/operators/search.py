@@ -11,7 +11,9 @@ from inkloom.functions.text import trigram_similarity
 from inkloom.functions.vectors import dot, norm
 
 #: Bytes of query vectors that may be broadcast; more go in blocks.
-QUERY_BYTES = 64 << 20
+QUERY_BYTES = 8 << 20
+#: Scores that are in memory at once.
+TILE = 1 << 21
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding", exclude_self: bool = True, most: int = QUERY_BYTES) -> DataFrame:
@@ -45,31 +47,31 @@ def _block(vectors: DataFrame, ids: list, vs: list, k: int, id_col: str, vector:
     q, names = q[keep] / length[keep, None], [i for i, ok in zip(ids, keep, strict=True) if ok]
 
     def run(batches):
-        held = None
+        best, who = np.full((len(names), k), -np.inf), np.empty((len(names), k), dtype=object)
         for pdf in batches:
             pdf = pdf[pdf["v"].map(lambda x: x is not None)]
             if not len(pdf) or not names:
                 continue
             m = np.stack(pdf["v"].to_numpy()).astype(np.float64)
             n = np.linalg.norm(m, axis=1)
-            ok = n > 0
-            own = pdf["id"].to_numpy()[ok]
-            score = q @ (m[ok] / n[ok, None]).T
-            rows = []
-            for i, name in enumerate(names):
-                s = score[i]
+            own = pdf["id"].to_numpy(dtype=object)[n > 0]
+            m = m[n > 0] / n[n > 0, None]
+            step = max(1, TILE // max(len(own), 1))
+            for lo in range(0, len(names), step):
+                hi = min(lo + step, len(names))
+                score = q[lo:hi] @ m.T
                 if exclude_self:
-                    s = np.where(own == name, -np.inf, s)
-                if len(s) > k:  # all that tie with the k-th stay, so that ids decide
-                    at = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
-                else:
-                    at = np.arange(len(s))
-                at = at[np.isfinite(s[at])]
-                rows.append(pd.DataFrame({"query_id": name, id_col: own[at], "cosine": s[at]}))
-            now = pd.concat(rows if held is None else [held, *rows])
-            held = now.sort_values(["query_id", "cosine", id_col], ascending=[True, False, True]).groupby("query_id").head(k)
-        if held is not None:
-            yield held
+                    score[np.asarray(names[lo:hi], dtype=object)[:, None] == own[None, :]] = -np.inf
+                both = np.concatenate([best[lo:hi], score], axis=1)
+                last = -np.partition(-both, k - 1, axis=1)[:, k - 1]
+                for i in np.flatnonzero((score >= last[:, None]).any(axis=1) & np.isfinite(score).any(axis=1)):
+                    at = np.flatnonzero((both[i] >= last[i]) & np.isfinite(both[i]))  # all that tie with the k-th, so that ids decide
+                    ids_ = [who[lo + i, j] if j < k else own[j - k] for j in at]
+                    top = sorted(zip(-both[i, at], ids_, strict=True))[:k]
+                    best[lo + i, : len(top)], who[lo + i, : len(top)] = [-x for x, _ in top], [x for _, x in top]
+        rows, ranks = np.nonzero(np.isfinite(best))
+        if len(rows):
+            yield pd.DataFrame({"query_id": [names[i] for i in rows], id_col: list(who[rows, ranks]), "cosine": best[rows, ranks]})
 
     return vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).mapInPandas(run, f"query_id {kind}, `{id_col}` {kind}, cosine double")
 
