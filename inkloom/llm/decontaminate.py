@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from inkloom.llm.common import PUNCTUATED, U64, ByteRule, buffers, grams, released, runs, word_hashes
 
@@ -145,14 +146,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
     rows = docs.select(docs[id_col], docs[text_col].cast("string").alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(benchmark, item_col, item_text_col):
-        out = out.unionByName(rows.mapInArrow(_matcher(block, coverage, id_col, item_col, pa_type(item_kind)), schema))
+        out = out.unionByName(rows.mapInArrow(_matcher(block, coverage, id_col, item_col, to_arrow_type(benchmark.schema[item_col].dataType)), schema))
     return out
 
 
-def pa_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
-
-
 def _matcher(block: list[tuple], coverage: float, id_col: str, item_col: str, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = ByteRule(PUNCTUATED)
