@@ -103,6 +103,33 @@ TEMPLATES: dict[str, list[str]] = {
 ORDINARY = ["The model was trained on the data of the second experiment.", "We use the results of the first section in this work.", "A copy of the letter was sent to the city in the same year.", "This file contains the notes of the meeting.", "The terms of the equation are listed below."]
 
 
+class _Sparse:
+    """A matrix of few values, for products with dense ones from the right."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, m: int):
+        self.shape = n, m
+        self.by_row, self.by_col = self._side(rows, cols, values), self._side(cols, rows, values)
+
+    @staticmethod
+    def _side(key: np.ndarray, other: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        return key[order][first], first, other[order], values[order, None]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return self._product(self.by_row, w, self.shape[0])
+
+    def turned_times(self, g: np.ndarray) -> np.ndarray:
+        return self._product(self.by_col, g, self.shape[1])
+
+    @staticmethod
+    def _product(side: tuple[np.ndarray, ...], dense: np.ndarray, n: int) -> np.ndarray:
+        key, first, other, values = side
+        out = np.zeros((n, dense.shape[1]))
+        out[key] = np.add.reduceat(dense[other] * values, first, axis=0)
+        return out
+
+
 class Scanner:
     """Weights of n-gram hashes by class, and the 2-gram sets of the templates."""
 
@@ -123,18 +150,23 @@ class Scanner:
                     marks.append(family)
         self.templates = {f: [self._set(n) for n in notices] for f, notices in templates.items()}
         known = [s for f, notices in self.templates.items() for s in notices]
-        plain = [t for t in [*ORDINARY, *ordinary] if not any(self._alike(self._set(t), s) for s in known)]
+        sets = [(t, self._set(t)) for t in [*ORDINARY, *ordinary]]
+        plain = [t for t, own in sets if not any(self._alike(own, s) for s in known)]
         lists = [self._grams(t) for t in texts]
         self.vocabulary = np.unique(np.concatenate(lists))
-        x = np.zeros((len(texts) + len(plain), len(self.vocabulary)), dtype=np.float64)
+        rows, cols, values = [], [], []
         for i, g in enumerate([*lists, *map(self._grams, plain)]):
             if len(g):
                 at = np.minimum(np.searchsorted(self.vocabulary, g), len(self.vocabulary) - 1)
-                np.add.at(x[i], at[self.vocabulary[at] == g], 1 / np.sqrt(len(g)))
+                at, n = np.unique(at[self.vocabulary[at] == g], return_counts=True)
+                rows.append(np.full(len(at), i))
+                cols.append(at)
+                values.append(n / np.sqrt(len(g)))
+        x = _Sparse(np.concatenate(rows), np.concatenate(cols), np.concatenate(values), len(texts) + len(plain), len(self.vocabulary))
         y = np.array([self.classes.index(m) for m in marks] + [0] * len(plain))
         held = rng.random(len(y)) < 0.2
-        self.weight, self.bias = self._fit(x[~held], y[~held])
-        self.heat = self._temperature(x[held] @ self.weight + self.bias, y[held])
+        self.weight, self.bias = self._fit(x, y, ~held)
+        self.heat = self._temperature((x.times(self.weight) + self.bias)[held], y[held])
 
     def _grams(self, text: str) -> np.ndarray:
         data, offsets = buffers(pa.array([text]))
@@ -163,20 +195,20 @@ class Scanner:
     def _alike(a: frozenset, b: frozenset) -> bool:
         return bool(a and b) and len(a & b) >= CONFIRM * min(len(a), len(b)) and min(len(a), len(b)) >= 1 and len(a & b) >= min(2, len(b))
 
-    def _fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
-        """Softmax regression, classes weighted alike, by gradient steps with momentum."""
+    def _fit(self, x: _Sparse, y: np.ndarray, used: np.ndarray, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+        """Softmax regression on the used rows, licence classes weighted alike, by gradient steps with momentum."""
         k = len(self.classes)
         target = np.eye(k)[y]
-        share = 1 / np.maximum(np.bincount(y, minlength=k), 1)[y]
+        share = 1 / np.maximum(np.bincount(y[used], minlength=k), 1)[y] * used
         share = np.where(y == 0, share * 6, share)
         share /= share.sum()
         w, b, vw, vb = np.zeros((x.shape[1], k)), np.zeros(k), 0.0, 0.0
         for _ in range(300):
-            z = x @ w + b
+            z = x.times(w) + b
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             g = (p - target) * share[:, None]
-            vw, vb = 0.9 * vw - 30 * (x.T @ g + ridge * w / 10), 0.9 * vb - 3 * g.sum(axis=0)
+            vw, vb = 0.9 * vw - 30 * (x.turned_times(g) + ridge * w), 0.9 * vb - 3 * g.sum(axis=0)
             w, b = w + vw, b + vb
         return w, b
 
