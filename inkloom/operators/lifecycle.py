@@ -81,3 +81,12 @@ def stored_summary(chunks: DataFrame, key: str = "arxiv_id") -> DataFrame:
     """(key, stored, status)."""
     stored = F.count_if(F.size("embedding") > 0)
     return chunks.groupBy(key).agg(stored.alias("stored"), F.when(stored > 0, "ok").otherwise("skipped").alias("status"))
+
+
+def embedding_queue(chunks: DataFrame, key: str = "paper_id", created: str = "created_at") -> DataFrame:
+    """Chunks without an embedding in the order in which they are to get one, as `place` within the paper."""
+    return chunks.where("embedding is null").withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(created, "section_order", "chunk")))
+
+
+def reading_order(chunks: DataFrame, key: str = "paper_id") -> DataFrame:
+    return chunks.orderBy(key, "section_order", "chunk")

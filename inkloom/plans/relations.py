@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inkloom.functions import text as t
-from inkloom.operators import dedup, validate
+from inkloom.operators import dedup, lifecycle, validate
 from inkloom.plans.registry import query
 
 
@@ -75,3 +75,10 @@ def names_and_headings(read, spark):
 @query("SELECT l_returnflag, l_linestatus, CAST(sum(l_quantity) AS DOUBLE) AS sum_qty, count(*) AS n FROM lineitem GROUP BY ALL")
 def report_counts(read, spark):
     return read("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey AS paper_id, l_linenumber AS chunk, l_partkey AS section_order, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_linenumber) AS INT) AS place FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE l_quantity > 20)")
+def embedding_queue(read, spark):
+    rows = read("lineitem").withColumn("embedding", F.when(F.col("l_quantity") <= 20, F.array(F.lit(1.0))))
+    chunks = rows.select(F.col("l_orderkey").alias("paper_id"), F.col("l_linenumber").alias("chunk"), F.col("l_partkey").alias("section_order"), F.col("l_shipdate").alias("created_at"), "embedding").distinct()
+    return lifecycle.embedding_queue(chunks).select("paper_id", "chunk", "section_order", "place")

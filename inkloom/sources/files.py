@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -92,3 +93,48 @@ def asset_place(prov: Column) -> Column:
     first = F.get(prov, F.lit(0))
     box = F.when(first.isNotNull(), F.struct(first["l"].cast("double").alias("x1"), first["t"].cast("double").alias("y1"), first["r"].cast("double").alias("x2"), first["b"].cast("double").alias("y2")))
     return F.struct(first["page_no"].cast("int").alias("page_number"), box.alias("bbox"))
+
+
+def fetch_pdfs(papers: DataFrame, present: DataFrame, fetch: Callable[[str], bytes], key: str = "arxiv_id", concurrency: int = 4, attempts: int = 3, most_mb: int = 50) -> DataFrame:
+    """(key, content, skip_reason) of the papers whose file isn't there yet; fetch(url) gives the bytes.
+
+    A failed download, tried again `attempts` times, or a file that is too large is
+    a row with a reason and without content.  Papers in `present` are left out.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for paper, url in zip(pdf["key"], pdf["url"], strict=True):
+                content, reason = None, "no address"
+                for _ in range(attempts if url else 0):
+                    try:
+                        content, reason = fetch(url), None
+                        break
+                    except (ConnectionError, TimeoutError, OSError) as e:
+                        reason = f"download failed: {e}"
+                if content is not None and len(content) / 1048576 > most_mb:
+                    content, reason = None, f"PDF too large ({len(content) / 1048576:.1f} MB)"
+                rows.append((paper, content, reason))
+            yield pd.DataFrame(rows, columns=["key", "content", "skip_reason"])
+
+    wanted = papers.join(present.select(key), key, "left_anti").select(F.col(key).alias("key"), F.col("pdf_url").alias("url"))
+    return wanted.repartition(concurrency).mapInPandas(run, "key string, content binary, skip_reason string").withColumnRenamed("key", key)
+
+
+def wait_until_ready(probe: Callable[[], bool], attempts: int = 30, pause: float = 2.0) -> None:
+    """Ask a service until it answers; an error after `attempts`."""
+    for _ in range(attempts):
+        if probe():
+            return
+        time.sleep(pause)
+    raise TimeoutError(f"no answer after {attempts} attempts")
+
+
+def remove(spark: SparkSession, paths: list[str]) -> int:
+    """Delete files on any file system that Spark reaches; gives how many were there."""
+    jvm, done = spark.sparkContext._jvm, 0
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, False))
+    return done

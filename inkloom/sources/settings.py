@@ -34,3 +34,10 @@ class Settings:
 
 def parse_topics(raw: str) -> tuple[str, ...]:
     return tuple(t.strip() for t in raw.split(",") if t.strip())
+
+
+def redacted(url: str) -> str:
+    """An address without the password in it, for logs."""
+    head, mark, rest = url.partition("://")
+    user, at, host = rest.rpartition("@")
+    return f"{head}{mark}{user.split(':')[0]}:***@{host}" if at and ":" in user else url

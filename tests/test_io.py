@@ -72,3 +72,28 @@ def test_streams(spark, tmp_path):
     assert sorted(r["arxiv_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
     counted = ingest.drain_to_memory(ingest.windowed_counts(stream, late="0 seconds"), "counted")
     assert {(str(r["start"]), r["n"]) for r in counted.collect()} == {("2024-01-01 00:00:00", 1), ("2024-01-01 05:00:00", 1)}
+
+
+def test_downloads(spark, tmp_path):
+    papers = spark.createDataFrame([("a", "ok"), ("b", "down"), ("c", "big"), ("d", ""), ("e", "ok")], "arxiv_id string, pdf_url string")
+
+    def fetch(url):
+        if url == "down":
+            raise ConnectionError("no route")
+        return b"x" * (3 << 20) if url == "big" else b"pdf"
+
+    found = {r["arxiv_id"]: (r["content"] and len(r["content"]), r["skip_reason"]) for r in files.fetch_pdfs(papers, papers.where("arxiv_id = 'e'"), fetch, most_mb=2).collect()}
+    assert found == {"a": (3, None), "b": (None, "download failed: no route"), "c": (None, "PDF too large (3.0 MB)"), "d": (None, "no address")}
+    (tmp_path / "x.pdf").write_bytes(b"1")
+    assert files.remove(spark, [str(tmp_path / "x.pdf"), str(tmp_path / "y.pdf")]) == 1
+    answers = iter([False, True])
+    files.wait_until_ready(lambda: next(answers), pause=0)
+    with pytest.raises(TimeoutError):
+        files.wait_until_ready(lambda: False, 2, 0)
+    assert settings.redacted("redis://u:secret@h:1/0") == "redis://u:***@h:1/0" and settings.redacted("redis://h:1") == "redis://h:1"
+
+
+def test_assets(spark):
+    row = spark.createDataFrame([("", "t", "l", [(2, 1.0, 2.0, 3.0, 4.0)])], "o string, t string, l string, prov array<struct<page_no:int,l:double,t:double,r:double,b:double>>").select(files.picked_asset_text(F.col("o"), F.col("t"), F.col("l")), files.asset_place(F.col("prov"))).first()
+    assert row[0] == "t" and row[1]["page_number"] == 2 and tuple(row[1]["bbox"]) == (1.0, 2.0, 3.0, 4.0)
+    assert tuple(files.convert_summary(spark.createDataFrame([(True,), (False,)], "ok boolean")).first()) == (1, 2)
