@@ -15,18 +15,21 @@ def _down(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component) of every id that has a link; component is the smallest id reachable.
 
-    Each round is joins and aggregates keyed by node, and ends in a reliable
-    checkpoint; the number of rounds grows with the logarithm of the longest
-    path.  Null ends and links of an id with itself are left out; no links give
+    Each round is joins and aggregates keyed by node; the number of rounds grows
+    with the logarithm of the longest path.  The least neighbours of all nodes, summed up
+    before they are shuffled, are cut from the lineage first, so that the join
+    has two plain shuffles and its partitions with a node of very many links
+    can be split at run time.  Every round ends in a reliable checkpoint.  Null ends and links of an id with itself are left out; no links give
     no rows.  Only a count and a checksum come to the driver.
     """
     now = cut(_down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(f"`{a}` is not null and `{b}` is not null")))
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = _down(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        small = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         joined = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(_down(joined.unionByName(small.select("u", F.col("m").alias("v")))))
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
