@@ -17,6 +17,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame
 
 from inkloom.llm.common import released
 
-#: Pre-tokens of a generation of a worker's cache; a task keeps two, so frequent ones survive, and leaves the younger.
+#: Pre-tokens of a generation of a worker's cache; a task keeps two, so frequent ones
+#: survive, and leaves the KEPT_ENTRIES that it met first to the next.
+KEPT_ENTRIES = 150_000
 CACHE_ENTRIES = 400_000
 #: Longer pre-tokens are encoded each time, so that the cache stays small.
 CACHE_CHARS = 64
@@ -152,6 +155,12 @@ class _Cache(dict):
         self.bpe = bpe
         self.older: dict[str, bytes] = {}
 
+    def shrink(self) -> None:
+        first = dict(islice(self.items(), KEPT_ENTRIES))
+        self.clear()
+        self.update(first)
+        self.older = {}
+
     def __missing__(self, token: str) -> bytes:
         ids = self.older.get(token)
         if ids is None:
@@ -192,7 +201,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                     [part.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([bpe.decode(x) for x in ids], pa.binary())],
                     names=["id", "ids", "decoded"],
                 )
-        bpe.cache.older = {}
+        bpe.cache.shrink()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(lambda batches: released(run(batches)), f"id {kind}, ids array<int>, decoded binary")
@@ -214,7 +223,7 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                 [batch.column(0), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        bpe.cache.older = {}
+        bpe.cache.shrink()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col], docs[text_col].cast("string").alias("text")).mapInArrow(lambda batches: released(run(batches)), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

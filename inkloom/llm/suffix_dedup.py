@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -417,7 +416,7 @@ def _joined_with_texts(rows: DataFrame, docs: DataFrame, buckets: int, id_col: s
 
 
 def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, hot_contexts: int = HOT_CONTEXTS, base: int = 1 << 22, memory: int = 96 << 20) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of each row; with `carry` also the ranges, the text and a struct `rest` of the other columns.
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of each row; with `carry` also the ranges, what is kept as text, by whole characters, and a struct `rest` of the other columns.
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a
     row with a smaller id, or before it in the same row.  Strings are judged on
@@ -444,12 +443,25 @@ def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_
     fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema = T._parse_datatype_string(fields)
     if carry:
-        schema = schema.add("spans", T.ArrayType(T.LongType())).add("raw", T.BinaryType()).add("rest", met.schema["rest"].dataType)
+        schema = schema.add("spans", T.ArrayType(T.LongType())).add("kept", T.StringType()).add("rest", met.schema["rest"].dataType)
     out = met.mapInArrow(_finished(carry), schema)
     named = F.when(F.col("doc") == NULL_ID, None).otherwise(F.col("doc")).cast(kind).alias(id_col)
     return out.select(named, *[c for c in out.columns if c != "doc"])
 
 
+def _without(text: bytes, ranges: list[int]) -> bytes:
+    """The text without the ranges, each shrunk to whole characters."""
+    kept, at = [], 0
+    for x, y in zip(ranges[::2], ranges[1::2], strict=True):
+        while x < y and text[x] & 0xC0 == 0x80:
+            x += 1
+        while y > x and y < len(text) and text[y] & 0xC0 == 0x80:
+            y -= 1
+        kept.append(text[at:x])
+        at = y
+    return b"".join([*kept, text[at:]])
+
+
 def _finished(carry: bool):
     """Texts of a bucket without the marked ranges."""
 
@@ -475,7 +487,7 @@ def _finished(carry: bool):
                 own, raw = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
                 a, b = np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")
                 spans: list[int] = []
-                kept = raw
+                kept = whole = raw
                 if b > a:
                     at = a + np.flatnonzero(tag[a:b] == zlib.crc32(raw))
                     if len(at):
@@ -483,15 +495,16 @@ def _finished(carry: bool):
                         spans = np.stack([first, last], axis=1).reshape(-1).tolist()
                         edges = [0, *spans, len(raw)]
                         kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((own, len(raw), len(raw) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans))
+                        whole = _without(raw, spans) if carry else raw
+                rows.append((own, len(raw), len(raw) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans, whole if carry else None))
                 places.append(i)
             if rows:
                 cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)] + [pa.array([r[4] for r in rows], pa.string())]
                 names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
                 if carry:
                     at = pa.array(places, pa.int32())
-                    cols += [pa.array([r[5] for r in rows], pa.list_(pa.int64())), batch.column(4).take(at), batch.column(5).take(at)]
-                    names += ["spans", "raw", "rest"]
+                    cols += [pa.array([r[5] for r in rows], pa.list_(pa.int64())), pa.array([r[6].decode("utf-8", "replace") for r in rows], pa.string()), batch.column(5).take(at)]
+                    names += ["spans", "kept", "rest"]
                 yield pa.record_batch(cols, names=names)
 
     return lambda batches: released(run(batches))
@@ -509,23 +522,7 @@ def dedup(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_co
     marked = docs.withColumn(null, F.col(text_col).isNull())
     found = removed(marked, length, id_col, text_col, carry=True)
 
-    @F.pandas_udf("string")
-    def cut_text(raw, spans):
-        out = []
-        for text, ranges in zip(raw, spans, strict=True):
-            kept, at = [], 0
-            for x, y in zip(ranges[::2], ranges[1::2], strict=True):
-                while x < y and text[x] & 0xC0 == 0x80:
-                    x += 1
-                while y > x and y < len(text) and text[y] & 0xC0 == 0x80:
-                    y -= 1
-                kept.append(text[at:x])
-                at = y
-            kept.append(text[at:])
-            out.append(b"".join(kept).decode("utf-8", "replace"))
-        return pd.Series(out)
-
-    text = F.when(F.col(f"rest.{null}"), None).otherwise(F.when(F.size("spans") == 0, F.col("raw").cast("string")).otherwise(cut_text("raw", "spans")))
+    text = F.when(~F.col(f"rest.{null}"), F.col("kept"))
     out = found.select(F.col(id_col), text.alias(text_col), *[F.col(f"rest.`{c}`").alias(c) for c in rest])
     if count_col:
         out = out.withColumn(count_col, F.when(F.col(text_col).isNull(), F.col(count_col)).otherwise(F.length(text_col).cast(docs.schema[count_col].dataType)))
