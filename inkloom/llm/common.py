@@ -31,9 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives lost executors and ends the lineage."""
+def cut(df: DataFrame, files_per_core: int | None = None) -> DataFrame:
+    """Reliable checkpoint in the shared folder: survives lost executors and ends the lineage.
+
+    files_per_core bounds the number of files, for tables of short rows.
+    """
     shared_dir(df.sparkSession)
+    if files_per_core is not None:
+        df = df.coalesce(files_per_core * df.sparkSession.sparkContext.defaultParallelism)
     return df.checkpoint(eager=True)
 
 

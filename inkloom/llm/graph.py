@@ -29,14 +29,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     can be split at run time.  Every round ends in a reliable checkpoint.  Null ends
     and links of an id with itself are left out; no links give no rows.  Only the answer whether it is done comes to the driver.
     """
-    now = cut(_down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(f"`{a}` is not null and `{b}` is not null")))
+    now = cut(_down(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(f"`{a}` is not null and `{b}` is not null")), 3)
     while not _is_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), 3)
         large = _down(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
         small = large.groupBy("u").agg(F.min("v").alias("m"))  # after the large star no node has many links to smaller ones
         joined = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(_down(joined.unionByName(small.select("u", F.col("m").alias("v")))))
+        now = cut(_down(joined.unionByName(small.select("u", F.col("m").alias("v")))), 3)
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
