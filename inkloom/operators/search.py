@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkloom.functions.text import trigram_similarity
-from inkloom.functions.vectors import dot, norm
 
 #: Bytes of query vectors that may be broadcast; more go in blocks.
 QUERY_BYTES = 8 << 20
 #: Scores that are in memory at once.
 TILE = 1 << 21
+#: Vectors of a group that meets another in one task, and the least number of groups.
+BLOCK_ROWS, LEAST_GROUPS = 4096, 8
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding", exclude_self: bool = True, most: int = QUERY_BYTES) -> DataFrame:
@@ -87,16 +90,45 @@ def similar_titles(rows: DataFrame, column: str, query: str, least: float = 0.3)
     return rows.withColumn("similarity", trigram_similarity(F.col(column), F.lit(query))).where(F.col("similarity") >= least)
 
 
-def approximate_pairs(vectors: DataFrame, limit: float, id_col: str = "vec_id", vector: str = "embedding", tables: int = 4, planes: int = 12, seed: int = 7) -> DataFrame:
-    """(a, b, cosine) of pairs at the limit that share a bucket of random planes in one of the tables; approximate, for exploration."""
-    dim = len(vectors.select(vector).where(F.col(vector).isNotNull()).first()[0])
-    plane = np.random.default_rng(seed).normal(size=(tables, planes, dim)).tolist()
-    sign = lambda p: F.when(dot(F.col("v"), F.array(*map(F.lit, p))) >= 0, "1").otherwise("0")
-    base = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).where("v is not null")
-    keys = base.select("id", "v", F.posexplode(F.array(*[F.concat(*map(sign, t)) for t in plane])).alias("t", "key"))
-    a, b = keys.alias("a"), keys.alias("b")
-    near = F.try_divide(dot(F.col("a.v"), F.col("b.v")), norm(F.col("a.v")) * norm(F.col("b.v")))
-    return a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), near.alias("cosine")).where(F.col("cosine") >= limit).distinct()
+def similar_pairs(vectors: DataFrame, limit: float, id_col: str = "vec_id", vector: str = "embedding", block: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, cosine) of all pairs a < b at the limit; exact.
+
+    Rows are dealt by their ids into groups of about `block`, and every two groups
+    meet in one task, so no task holds more than two of them and the scores of one
+    tile.  Null, zero or non-finite vectors take no part.
+    """
+    kind = vectors.schema[id_col].dataType.simpleString()
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).where("id is not null and v is not null").distinct()
+    groups = max(LEAST_GROUPS, -(-rows.count() // block))
+    dealt = rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    ahead = dealt.select(F.col("g").alias("x"), F.explode(F.sequence("g", F.lit(groups - 1))).alias("y"), F.lit(True).alias("ahead"), "id", "v")
+    behind = dealt.where("g > 0").select(F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("x"), F.col("g").alias("y"), F.lit(False).alias("ahead"), "id", "v")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches))
+        m = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+        n = np.linalg.norm(m, axis=1)
+        ok = np.isfinite(n) & (n > 0)
+        m, n, own, first = m[ok], n[ok], pdf["id"].to_numpy()[ok], pdf["ahead"].to_numpy(dtype=bool)[ok]
+        same = pdf["x"].iloc[0] == pdf["y"].iloc[0]
+        one, other = np.flatnonzero(first), np.arange(len(own)) if same else np.flatnonzero(~first)
+        step = max(1, TILE // max(len(other), 1))
+        for lo in range(0, len(one), step):
+            at = one[lo : lo + step]
+            i, j = np.nonzero((score := m[at] @ m[other].T / (n[at, None] * n[other])) >= limit)
+            a, b, c = own[at[i]], own[other[j]], score[i, j]
+            if not len(a):
+                continue
+            if same:  # each pair is met twice
+                keep = a < b
+                a, b, c = a[keep], b[keep], c[keep]
+            else:
+                turn = b < a
+                keep = turn | (a < b)
+                a, b, c = np.where(turn, b, a)[keep], np.where(turn, a, b)[keep], c[keep]
+            yield pd.DataFrame({"a": a, "b": b, "cosine": c})
+
+    return ahead.unionByName(behind).groupBy("x", "y").applyInPandas(run, f"a {kind}, b {kind}, cosine double").distinct()
 
 
 def holds_any(column: Column, values: list) -> Column:

@@ -54,9 +54,9 @@ def hashing_embeddings(read, spark):
     return embed.with_embeddings(read("documents"), embed.HashingEmbedder).select("doc_id", F.size("embedding").alias("dim"))
 
 
-@query()
+@query("SELECT a, b, cosine FROM (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id) WHERE isfinite(cosine) AND cosine >= 0.93")
 def approximate_pairs(read, spark):
-    return search.approximate_pairs(read("embeddings"), 0.93)
+    return search.similar_pairs(read("embeddings"), 0.93)
 
 
 _STOPS = "['figure','fig','table','tab','the','a','an','of','in','and','is','are','for']"
