@@ -191,6 +191,14 @@ def abstract_sections(read, spark):
     return sections.with_abstract(none, docs).select("doc_id", "text", "title")
 
 
+@query("SELECT doc_id, text, 'Abstract' AS title FROM documents WHERE text <> ''")
+def abstract_sections_all(read, spark):
+    """Every document once with its text as the abstract and once with none, which gives no section."""
+    docs = read("documents").withColumn("abstract", F.col("text"))
+    none = docs.limit(0).select("doc_id", F.lit(0).alias("section_order"), F.lit("").alias("title"), "text", F.lit(0).alias("page_start"), F.lit(0).alias("page_end"))
+    return sections.with_abstract(none, docs.unionByName(docs.withColumn("abstract", F.lit(None).cast("string")))).select("doc_id", "text", "title")
+
+
 @query("SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda l: l <> ''), chr(10) || chr(10)) AS full_text FROM documents")
 def full_text(read, spark):
     rows = read("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("section_order", "text"))

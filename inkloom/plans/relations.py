@@ -60,6 +60,13 @@ def insert_on_conflict_skip(read, spark):
     return dedup.insert_new(orders.where("o_orderkey % 3 = 0"), orders.where("o_orderkey % 2 = 0"), "o_orderkey")
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 <> 0")
+def insert_on_conflict_skip_all(read, spark):
+    """All orders are the batch; those with an even key are stored already."""
+    orders = read("orders").select("o_orderkey", "o_orderstatus")
+    return dedup.insert_new(orders, orders.where("o_orderkey % 2 = 0"), "o_orderkey")
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'new' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS version FROM orders")
 def upsert(read, spark):
     stored = read("orders").select("o_orderkey", "o_orderstatus", F.lit(0).alias("version"))

@@ -76,20 +76,39 @@ def ordinals_match(read, spark):
 
 
 def _boxes(read):
-    lines = read("lineitem").where("l_orderkey % 4 = 0")
+    lines = read("lineitem")
     box = lambda dx, dy: F.struct((F.col("l_quantity") + dx).alias("x1"), (F.col("l_linenumber") * 10.0 + dy).alias("y1"), (F.col("l_quantity") + dx + 20).alias("x2"), (F.col("l_linenumber") * 10.0 + dy + 12).alias("y2"))
     return lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", box(0.0, 0.0).alias("a"), box(4.0, 5.0).alias("b"))
 
 
+def _some_boxes(read):
+    """The orders that the SQL of iou_pairs and flip_boxes asks for."""
+    return _boxes(read).where("l_orderkey % 4 = 0")
+
+
+def _iou_pairs(boxes):
+    x, y = boxes.alias("x"), boxes.alias("y")
+    pairs = x.join(y, F.col("x.l_orderkey") == F.col("y.l_orderkey"))
+    return pairs.select(F.col("x.l_orderkey").alias("l_orderkey"), F.col("x.l_linenumber").alias("ai"), F.col("x.l_partkey").alias("ap"), F.col("y.l_linenumber").alias("ri"), F.col("y.l_partkey").alias("rp"), F.round(v.iou(F.col("x.a"), F.col("y.b")), 6).alias("iou"))
+
+
+def _flip_boxes(boxes):
+    f = v.flip(F.col("a"))
+    return boxes.select("l_orderkey", "l_linenumber", "l_partkey", f["x1"].alias("x1"), F.round(f["y1"], 6).alias("y1"), f["x2"].alias("x2"), F.round(f["y2"], 6).alias("y2"))
+
+
 _BOXES = "b AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_quantity AS x, l_linenumber * 10.0 AS y FROM lineitem WHERE l_orderkey % 4 = 0)"
 _IOU = "CASE WHEN least(a.x + 20, c.x + 24) > greatest(a.x, c.x + 4) AND least(a.y + 12, c.y + 17) > greatest(a.y, c.y + 5) THEN ((least(a.x + 20, c.x + 24) - greatest(a.x, c.x + 4)) * (least(a.y + 12, c.y + 17) - greatest(a.y, c.y + 5))) / (480 - (least(a.x + 20, c.x + 24) - greatest(a.x, c.x + 4)) * (least(a.y + 12, c.y + 17) - greatest(a.y, c.y + 5))) ELSE 0 END"
 
 
 @query(f"WITH {_BOXES} SELECT a.k AS l_orderkey, a.n AS ai, a.p AS ap, c.n AS ri, c.p AS rp, round(CAST({_IOU} AS DOUBLE), 6) AS iou FROM b a JOIN b c ON a.k = c.k")
 def iou_pairs(read, spark):
-    x, y = _boxes(read).alias("x"), _boxes(read).alias("y")
-    pairs = x.join(y, F.col("x.l_orderkey") == F.col("y.l_orderkey"))
-    return pairs.select(F.col("x.l_orderkey").alias("l_orderkey"), F.col("x.l_linenumber").alias("ai"), F.col("x.l_partkey").alias("ap"), F.col("y.l_linenumber").alias("ri"), F.col("y.l_partkey").alias("rp"), F.round(v.iou(F.col("x.a"), F.col("y.b")), 6).alias("iou"))
+    return _iou_pairs(_some_boxes(read))
+
+
+@query(f"WITH b AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_quantity AS x, l_linenumber * 10.0 AS y FROM lineitem) SELECT a.k AS l_orderkey, a.n AS ai, a.p AS ap, c.n AS ri, c.p AS rp, round(CAST({_IOU} AS DOUBLE), 6) AS iou FROM b a JOIN b c ON a.k = c.k")
+def iou_pairs_all(read, spark):
+    return _iou_pairs(_boxes(read))
 
 
 @query()
@@ -101,8 +120,12 @@ def greedy_match(read, spark):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, CAST(round(841.89 - (l_linenumber * 10.0 + 12), 6) AS DOUBLE) AS y1, l_quantity + 20 AS x2, CAST(round(841.89 - l_linenumber * 10.0, 6) AS DOUBLE) AS y2 FROM lineitem WHERE l_orderkey % 4 = 0")
 def flip_boxes(read, spark):
-    f = v.flip(F.col("a"))
-    return _boxes(read).select("l_orderkey", "l_linenumber", "l_partkey", f["x1"].alias("x1"), F.round(f["y1"], 6).alias("y1"), f["x2"].alias("x2"), F.round(f["y2"], 6).alias("y2"))
+    return _flip_boxes(_some_boxes(read))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, CAST(round(841.89 - (l_linenumber * 10.0 + 12), 6) AS DOUBLE) AS y1, l_quantity + 20 AS x2, CAST(round(841.89 - l_linenumber * 10.0, 6) AS DOUBLE) AS y2 FROM lineitem")
+def flip_boxes_all(read, spark):
+    return _flip_boxes(_boxes(read))
 
 
 @query("SELECT p_partkey, 3 AS page, least(p_size, 20)::DOUBLE AS x1, 1.5::DOUBLE AS y1, greatest(p_size + 5, 30)::DOUBLE AS x2, 9.0::DOUBLE AS y2 FROM part")

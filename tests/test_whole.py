@@ -9,6 +9,8 @@ import pytest
 from inkloom.operators import search
 from inkloom.plans import registry
 
+DIR = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def close():
@@ -49,3 +51,34 @@ def test_approximate_pairs_query(spark, close, tmp_path):
     found = {(r["a"], r["b"]): r["cosine"] for r in registry.QUERIES["approximate_pairs"](spark, str(tmp_path)).collect()}
     assert len(expected) > 300 and set(found) == set(expected)
     assert all(math.isclose(found[k], c, rel_tol=1e-9) for k, c in expected.items())
+
+
+def test_greedy_match_takes_all_orders(spark):
+    """The query against a matching by hand of every order."""
+    lines = {}
+    for r in registry.table(spark, DIR, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").collect():
+        lines.setdefault(r[0], []).append((r[1], float(r[2])))
+    expected = set()
+    for order, rows in lines.items():
+        scores = {}
+        for ai, x in rows:
+            for ri, y in rows:
+                w, h = min(x + 20, y + 24) - max(x, y + 4), min(ai * 10.0 + 12, ri * 10.0 + 17) - max(ai * 10.0, ri * 10.0 + 5)
+                both = w * h if w > 0 and h > 0 else 0.0
+                scores[ai, ri] = max(scores.get((ai, ri), 0.0), both / (480 - both))
+        used_a, used_r = set(), set()
+        for (ai, ri), s in sorted(scores.items(), key=lambda x: (-x[1], x[0])):
+            if s > 0 and ai not in used_a and ri not in used_r:
+                used_a.add(ai)
+                used_r.add(ri)
+                expected.add((order, ai, ri, round(s, 6)))
+    found = registry.QUERIES["greedy_match"](spark, DIR).collect()
+    assert len(found) == len(expected) and {(r["doc_id"], r["ai"], r["ri"], round(r["score"], 6)) for r in found} == expected
+
+
+@pytest.mark.parametrize(("name", "table"), [("iou_pairs_all", "lineitem"), ("flip_boxes_all", "lineitem"), ("abstract_sections_all", "documents")])
+def test_no_row_is_left_out(spark, name, table):
+    """tests/test_queries.py holds these against their SQL; here every row of the table must be met."""
+    key = {"lineitem": "l_orderkey", "documents": "doc_id"}[table]
+    there = {r[0] for r in registry.table(spark, DIR, table).where("true" if table == "lineitem" else "text <> ''").select(key).collect()}
+    assert {r[0] for r in registry.QUERIES[name](spark, DIR).select(key).collect()} == there
