@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from typing import Protocol
 
 import numpy as np
@@ -24,19 +26,22 @@ class Embedder(Protocol):
 
 
 class HashingEmbedder:
-    """A deterministic stand-in: signed hashed words, unit length; runs anywhere."""
+    """A deterministic stand-in: signed hashes of all words of a text, unit length; runs anywhere.
+
+    Its name differs from that of the form that read 512 words, so that vectors of that one are stale.
+    """
 
     normalized = True
 
-    def __init__(self, dim: int = 64, max_tokens: int = 512):
-        self.name, self.dim, self.max_tokens = f"hashing-{dim}", dim, max_tokens
+    def __init__(self, dim: int = 64):
+        self.name, self.dim = f"hashing-whole-{dim}", dim
 
     def embed_batch(self, texts: list[str]) -> list[list[float]]:
         out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts, strict=True):
-            for word in text.lower().split()[: self.max_tokens]:
-                h = int.from_bytes(word.encode()[:64].ljust(8, b"\0"), "little") * 0x9E3779B97F4A7C15 % (1 << 64)
-                row[(h >> 20) % self.dim] += 1 if h >> 60 & 1 else -1
+            for word, n in Counter(text.lower().split()).items():
+                h = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+                row[(h >> 20) % self.dim] += n if h >> 60 & 1 else -n
         return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).tolist()
 
 

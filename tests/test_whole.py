@@ -1,12 +1,13 @@
 """Queries and operators do the whole job: all pairs, all rows, whole texts."""
 
 import math
+from hashlib import blake2b
 
 import duckdb
 import numpy as np
 import pytest
 
-from inkloom.operators import search
+from inkloom.operators import embed, search
 from inkloom.plans import registry
 
 DIR = "/root/testdata/sf0.001"
@@ -82,3 +83,25 @@ def test_no_row_is_left_out(spark, name, table):
     key = {"lineitem": "l_orderkey", "documents": "doc_id"}[table]
     there = {r[0] for r in registry.table(spark, DIR, table).where("true" if table == "lineitem" else "text <> ''").select(key).collect()}
     assert {r[0] for r in registry.QUERIES[name](spark, DIR).select(key).collect()} == there
+
+
+def brute_embedding(text, dim=64):
+    out = [0] * dim
+    for word in text.lower().split():
+        h = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+        out[(h >> 20) % dim] += 1 if (h >> 60) & 1 else -1
+    length = math.sqrt(sum(x * x for x in out))
+    return [x / length if length else 0.0 for x in out]
+
+
+def test_embeddings_read_whole_texts_and_words(spark):
+    """The vectors of whole documents, some of more than 512 words, against a sum over all their words."""
+    docs = {r["doc_id"]: r["text"] for r in registry.table(spark, DIR, "documents").collect()}
+    assert max(len(t.split()) for t in docs.values()) > 1000
+    found = embed.with_embeddings(registry.table(spark, DIR, "documents"), embed.HashingEmbedder).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        assert np.allclose(r["embedding"], brute_embedding(docs[r["doc_id"]]), atol=1e-6), r["doc_id"]
+    start = "same " * 600
+    one, other, longer, alike = embed.HashingEmbedder().embed_batch([start + "dataset", start + "model", "internationalisation", "internationalise"])
+    assert one != other and longer != alike
