@@ -51,6 +51,46 @@ def clean_arxiv_header(read, spark):
     return read("documents").select("doc_id", t.squeeze(t.drop(F.concat("lang", F.lit(" arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 "), "source"), t.ARXIV_HEADER)).alias("cleaned"))
 
 
+# The same steps over whole texts with the pattern before, within and after them; the SQL above asks for short columns.
+_CITED = r"\[\d[\d,\s–\-]*\]|\([A-Z][a-z]+(?:\s+et\s+al\.?)?,\s*\d{4}[a-z]?(?:;\s*[A-Z][a-z]+(?:\s+et\s+al\.?)?,\s*\d{4}[a-z]?)*\)"
+
+
+@query(f"SELECT doc_id, regexp_replace('See [1, 2] ' || text || ' and [3-5] ' || text || ' (Smith et al., 2020; Doe, 1999a) end', '{_CITED}', '', 'g') AS cleaned FROM documents")
+def clean_citations_all(read, spark):
+    text = F.concat(F.lit("See [1, 2] "), "text", F.lit(" and [3-5] "), "text", F.lit(" (Smith et al., 2020; Doe, 1999a) end"))
+    return read("documents").select("doc_id", t.drop(text, t.CITATION).alias("cleaned"))
+
+
+@query("SELECT doc_id, regexp_replace('Figure 3: ' || text || ' fig. 12. ' || text || ' Table 4: x Algorithm 1. y', '(?i)(Figure|Fig\\.|Table|Algorithm|Listing)\\s+\\d+[.:]', '', 'g') AS cleaned FROM documents")
+def clean_captions_all(read, spark):
+    text = F.concat(F.lit("Figure 3: "), "text", F.lit(" fig. 12. "), "text", F.lit(" Table 4: x Algorithm 1. y"))
+    return read("documents").select("doc_id", t.drop(text, t.CAPTION).alias("cleaned"))
+
+
+@query(r"SELECT doc_id, regexp_replace('a \mathbf{x}' || text || ' \alpha b ' || text || ' \beta', '\\[a-zA-Z]+\{[^}]*\}|\\[a-zA-Z]+', '', 'g') AS cleaned FROM documents")
+def clean_latex_all(read, spark):
+    text = F.concat(F.lit(r"a \mathbf{x}"), "text", F.lit(r" \alpha b "), "text", F.lit(r" \beta"))
+    return read("documents").select("doc_id", t.drop(text, t.LATEX).alias("cleaned"))
+
+
+@query("SELECT doc_id, regexp_replace(text || chr(10) || '12' || chr(10) || 'Page 7' || chr(10) || text || chr(10) || '12345' || chr(10) || '9', '(?m)^\\s*(?:Page\\s*)?\\d{1,4}\\s*$', '', 'g') AS cleaned FROM documents")
+def clean_page_numbers_all(read, spark):
+    text = F.concat_ws("\n", "text", F.lit("12"), F.lit("Page 7"), "text", F.lit("12345"), F.lit("9"))
+    return read("documents").select("doc_id", t.drop(text, t.PAGE_NUMBER).alias("cleaned"))
+
+
+@query("SELECT doc_id, regexp_replace('pro-' || chr(10) || 'cess ' || text || ' a- b re-' || chr(10) || 'sult ' || text, '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g') AS cleaned FROM documents")
+def clean_hyphen_all(read, spark):
+    text = F.concat(F.lit("pro-\ncess "), "text", F.lit(" a- b re-\nsult "), "text")
+    return read("documents").select("doc_id", t.join_hyphens(text).alias("cleaned"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text || ' arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 ' || text, '(?i)arXiv:\\d{4}\\.\\d{4,5}v\\d+\\s+\\[[\\w.]+\\]\\s+\\d{1,2}\\s+\\w+\\s+\\d{4}', '', 'g'), '\\s+', ' ', 'g')) AS cleaned FROM documents")
+def clean_arxiv_header_all(read, spark):
+    text = F.concat("text", F.lit(" arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 "), "text")
+    return read("documents").select("doc_id", t.squeeze(t.drop(text, t.ARXIV_HEADER)).alias("cleaned"))
+
+
 @query(f"SELECT doc_id, {_DUCK_LINES.format(x='''regexp_replace(regexp_replace('  ' || lang || chr(9) || chr(9) || source || chr(10) || chr(10) || chr(10) || chr(10) || text || '   ', '[ ' || chr(9) || ']{2,}', ' ', 'g'), chr(10) || '{3,}', chr(10) || chr(10), 'g')''')} AS cleaned FROM documents")
 def clean_whitespace(read, spark):
     text = F.concat(F.lit("  "), "lang", F.lit("\t\t"), "source", F.lit("\n\n\n\n"), "text", F.lit("   "))

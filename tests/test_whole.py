@@ -105,3 +105,20 @@ def test_embeddings_read_whole_texts_and_words(spark):
     start = "same " * 600
     one, other, longer, alike = embed.HashingEmbedder().embed_batch([start + "dataset", start + "model", "internationalisation", "internationalise"])
     assert one != other and longer != alike
+
+
+INJECTED = {
+    "clean_citations_all": ["[1, 2]", "[3-5]", "(Smith et al., 2020; Doe, 1999a)"], "clean_captions_all": ["Figure 3:", "fig. 12.", "Table 4:", "Algorithm 1."], "clean_latex_all": [r"\mathbf", r"\alpha", r"\beta"],
+    "clean_page_numbers_all": ["Page 7", "\n12\n"], "clean_hyphen_all": ["pro-\n", "re-\n"], "clean_arxiv_header_all": ["arXiv:"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(INJECTED))
+def test_whole_texts_are_cleaned(spark, name):
+    """tests/test_queries.py holds these against their SQL; here each result has the whole text and nothing of the injected part."""
+    docs = {r["doc_id"]: len("".join(r["text"].split())) for r in registry.table(spark, DIR, "documents").collect()}
+    found = {r["doc_id"]: r["cleaned"] for r in registry.QUERIES[name](spark, DIR).collect()}
+    assert set(found) == set(docs)
+    for d, cleaned in found.items():
+        assert len("".join(cleaned.split())) >= 2 * docs[d], d
+        assert not any(x in cleaned for x in INJECTED[name]), d
