@@ -9,8 +9,9 @@ Spark reaches.  Its layout, integers little-endian:
     block index     per block: key length u16, last key, offset u64, bytes u32, entries u32
     Bloom filter    bits of all keys
     footer          index offset u64, bytes u32; filter offset u64, bytes u32, hashes u16;
-                    entries u64, tokens u64, id width u16, first key length u16, first key
-                    and last key length u16, last key; footer bytes u32, magic
+                    entries u64, tokens u64, id width u16; partition u32 and number in it u32,
+                    which put the shards of a folder in order; first key length u16, first
+                    key and last key length u16, last key; footer bytes u32, magic
 
 Keys are a null mark and the id as 8 big-endian bytes with its sign bit turned,
 so byte order is id order and null comes first.  Values are ids of `width`
@@ -29,13 +30,14 @@ import uuid
 import zlib
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -94,11 +96,16 @@ def _bits(key: bytes, n_bits: int) -> list[int]:
     return [((a + i * b) & (1 << 64) - 1) % n_bits for i in range(BLOOM_HASHES)]
 
 
+_FOOTER = "<QIQIHQQHII"
+#: Bytes at a shard's end that are read at once; footers are shorter.
+TAIL = 4096
+
+
 class Writer:
-    """Builds one shard from entries in key order."""
+    """Builds one shard from entries in key order; `place` is its partition and its number in it."""
 
-    def __init__(self, width: int):
-        self.width, self.body, self.index, self.keys = width, bytearray(), [], []
+    def __init__(self, width: int, place: tuple[int, int] = (0, 0)):
+        self.width, self.place, self.body, self.index, self.keys = width, place, bytearray(), [], []
         self.tokens, self.block, self.block_at, self.block_n, self.previous = 0, 0, 0, 0, b""
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
@@ -135,44 +142,55 @@ class Writer:
                 bits[(digests[:, 0] + np.uint64(i) * digests[:, 1]) % np.uint64(len(bits))] = True
         self.body += np.packbits(bits, bitorder="little").tobytes()
         first, last = (self.keys[0], self.keys[-1]) if self.keys else (b"", b"")
-        footer = struct.pack("<QIQIHQQH", index_at, bloom_at - index_at, bloom_at, len(self.body) - bloom_at, BLOOM_HASHES, len(self.keys), self.tokens, self.width)
+        footer = struct.pack(_FOOTER, index_at, bloom_at - index_at, bloom_at, len(self.body) - bloom_at, BLOOM_HASHES, len(self.keys), self.tokens, self.width, *self.place)
         footer += struct.pack("<H", len(first)) + first + struct.pack("<H", len(last)) + last
         self.body += footer + struct.pack("<I", len(footer)) + MAGIC
         return bytes(self.body)
 
 
 class Reader:
-    """Look-up and scan over the bytes of a shard."""
-
-    def __init__(self, data: bytes):
-        if data[-len(MAGIC) :] != MAGIC:
+    """Look-up and scan; of a file the footer is read first, then only the parts that are asked for."""
+
+    def __init__(self, data: bytes | None = None, read: Callable[[int, int], bytes] | None = None, size: int = 0):
+        """data: a whole shard; or read(offset, bytes) and the size of one."""
+        if data is not None:
+            view, size = memoryview(data), len(data)
+            read = lambda at, n: view[at : at + n]
+        self.read, self._index, self._bloom = read, None, None
+        tail = bytes(read(max(0, size - TAIL), min(size, TAIL)))
+        if tail[-len(MAGIC) :] != MAGIC:
             raise ValueError("not a shard: magic is missing")
-        self.data = memoryview(data)
-        end = len(data) - len(MAGIC) - 4
-        (size,) = struct.unpack_from("<I", data, end)
-        at = end - size
-        self.index_at, index_size, self.bloom_at, self.bloom_size, _, self.entries, self.tokens, self.width = struct.unpack_from("<QIQIHQQH", data, at)
-        at += struct.calcsize("<QIQIHQQH")
-        (n,) = struct.unpack_from("<H", data, at)
-        self.first = data[at + 2 : at + 2 + n]
-        self.index, at = [], self.index_at
-        while at < self.index_at + index_size:
-            (n,) = struct.unpack_from("<H", data, at)
-            key = data[at + 2 : at + 2 + n]
-            self.index.append((key, *struct.unpack_from("<QII", data, at + 2 + n)))
-            at += 2 + n + 16
-        self.last_keys = [x[0] for x in self.index]
+        end = len(tail) - len(MAGIC) - 4
+        at = end - struct.unpack_from("<I", tail, end)[0]
+        self.index_at, self.index_size, self.bloom_at, self.bloom_size, _, self.entries, self.tokens, self.width, *place = struct.unpack_from(_FOOTER, tail, at)
+        self.place = tuple(place)
+        at += struct.calcsize(_FOOTER)
+        (n,) = struct.unpack_from("<H", tail, at)
+        self.first = tail[at + 2 : at + 2 + n]
+        at += 2 + n
+        (n,) = struct.unpack_from("<H", tail, at)
+        self.last = tail[at + 2 : at + 2 + n]
+
+    @property
+    def index(self) -> list[tuple[bytes, int, int, int]]:
+        if self._index is None:
+            raw, at, self._index = bytes(self.read(self.index_at, self.index_size)), 0, []
+            while at < len(raw):
+                (n,) = struct.unpack_from("<H", raw, at)
+                self._index.append((raw[at + 2 : at + 2 + n], *struct.unpack_from("<QII", raw, at + 2 + n)))
+                at += 2 + n + 16
+        return self._index
 
     def block(self, number: int) -> Iterator[tuple[bytes, np.ndarray]]:
-        _, at, size, _ = self.index[number]
-        end, key = at + size, b""
-        while at < end:
-            shared, at = _read_varint(self.data, at)
-            rest, at = _read_varint(self.data, at)
-            length, at = _read_varint(self.data, at)
-            key = key[:shared] + bytes(self.data[at : at + rest])
+        _, start, size, _ = self.index[number]
+        data, at, key = self.read(start, size), 0, b""
+        while at < size:
+            shared, at = _read_varint(data, at)
+            rest, at = _read_varint(data, at)
+            length, at = _read_varint(data, at)
+            key = key[:shared] + bytes(data[at : at + rest])
             at += rest
-            yield key, np.frombuffer(self.data[at : at + length], dtype="<u2" if self.width == 2 else "<u4")
+            yield key, np.frombuffer(data[at : at + length], dtype="<u2" if self.width == 2 else "<u4")
             at += length
 
     def scan(self) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -180,15 +198,18 @@ class Reader:
             yield from self.block(i)
 
     def may_hold(self, key: bytes) -> bool:
-        n_bits = self.bloom_size * 8
-        return all(self.data[self.bloom_at + (b >> 3)] >> (b & 7) & 1 for b in _bits(key, n_bits))
+        if not self.first <= key <= self.last:
+            return False
+        if self._bloom is None:
+            self._bloom = bytes(self.read(self.bloom_at, self.bloom_size))
+        return all(self._bloom[b >> 3] >> (b & 7) & 1 for b in _bits(key, self.bloom_size * 8))
 
     def get(self, key: bytes) -> list[np.ndarray]:
-        """Values of a key, by Bloom filter, binary search in the block index and a scan of its blocks."""
+        """Values of a key, by key range, Bloom filter, binary search in the block index and a scan of its blocks."""
         out: list[np.ndarray] = []
-        if not self.index or not self.may_hold(key):
+        if not self.entries or not self.may_hold(key):
             return out
-        i = bisect_left(self.last_keys, key)
+        i = bisect_left(self.index, key, key=lambda entry: entry[0])
         while i < len(self.index):
             for k, ids in self.block(i):
                 if k == key:
@@ -282,7 +303,15 @@ class PieceEncoder:
         tail = b"" if end is None else np.array([end], dtype=self.kind).tobytes()
         if self.pattern is None:
             return [np.frombuffer(x + tail, dtype=self.kind) for x in self._ask([t or "" for t in texts])]
+        collects = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the many strings are slow to look through
+        try:
+            return self._encoded(texts, tail)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encoded(self, texts: list[str | None], tail: bytes) -> list[np.ndarray]:
         find = self.latin.findall
         parts = [find(t.lower()) if t and self._is_plain(t) else None if t else [] for t in texts]
         mixed = {i: texts[i].replace("\n", " ").split(" ") for i, p in enumerate(parts) if p is None}
@@ -296,7 +325,6 @@ class PieceEncoder:
         out = [np.frombuffer((b"".join(map(one, p)) if p is not None else b"".join(map(known.__getitem__, mixed[i]))) + tail, dtype=self.kind) for i, p in enumerate(parts)]
         for word in long:
             del self.words[word]
-        gc.enable()
         return out
 
 
@@ -312,15 +340,17 @@ def _load(path: str) -> PieceEncoder:
 def write_shards(docs: DataFrame, path: str, out: str, end: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode every whole text and write shards to the folder `out`; gives `out` back.
 
-    One range exchange brings the rows into id order, so shards don't overlap.
+    One range exchange brings the rows into order of id, then text, so shards
+    don't overlap and rows that share an id are spread over partitions too; each
+    shard says in its footer which partition it is from and its number in it.
     A null text counts as empty and gets only the end id; a null id sorts
     first; rows with the same id are kept, each an entry, in order of text.
     Other columns are not read.  No rows give no shard.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _load(path)
-        writer, held = Writer(encoder.width), 0
+        encoder, partition, number = _load(path), TaskContext.get().partitionId(), 0
+        writer, held = Writer(encoder.width, (partition, number)), 0
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
@@ -331,14 +361,15 @@ def write_shards(docs: DataFrame, path: str, out: str, end: int | None = 1, id_c
                     writer.add(key_of(doc_id), ids)
                     held += ids.nbytes
                 if held > SHARD_TARGET:
-                    raise_to = writer.finish()
-                    yield pa.record_batch([pa.array([raise_to[:-1]], pa.binary())], names=["value"])
-                    writer, held = Writer(encoder.width), 0
+                    full, number = writer.finish(), number + 1
+                    yield pa.record_batch([pa.array([full[:-1]], pa.binary())], names=["value"])
+                    writer, held = Writer(encoder.width, (partition, number)), 0
         if writer.keys:
             yield pa.record_batch([pa.array([writer.finish()[:-1]], pa.binary())], names=["value"])
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # the start of a text is in order with the text, and short enough for the sampled bounds
+    ordered = rows.repartitionByRange("id", F.substring("text", 1, 16)).sortWithinPartitions("id", "text")
     shards = ordered.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     shards.write.option("maxRecordsPerFile", 1).option("compression", "none").text(out)
     return out
@@ -372,47 +403,90 @@ def _contents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
-def look_up(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
-    """(doc_id, ids) of the wanted ids, a list on the driver, by binary search in every shard that may hold them."""
+def _files(spark: SparkSession, path: str) -> list[tuple[object, int]]:
+    """Paths and sizes of the shards of a folder, in order of partition and number in it, as Spark's writer names them."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = []
+    for status in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder):
+        if name := re.match(r"part-(\d+)-.*?(?:-c(\d+))?(?:\.txt)?$", status.getPath().getName()):
+            found.append((int(name[1]), int(name[2] or 0), status.getPath(), status.getLen()))
+    return [x[2:] for x in sorted(found, key=lambda x: x[:2])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                reader = Reader(content.as_py())
-                found = [(i, x.astype(np.int32)) for i in ids for x in reader.get(key_of(i))]
-                yield pa.record_batch([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return _contents(spark, path).mapInArrow(run, "doc_id long, ids array<int>")
+def _opened(spark: SparkSession, file: object, size: int) -> Reader:
+    """A reader that fetches ranges of a file, from whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    source = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def read(at: int, n: int) -> bytes:
+        stream = source.open(file)
+        try:
+            stream.seek(at)
+            return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+        finally:
+            stream.close()
+
+    return Reader(read=read, size=size)
+
+
+def look_up(spark: SparkSession, path: str, ids: list[int | None]) -> DataFrame:
+    """(doc_id, ids) of the wanted ids, a list on the driver.
+
+    A binary search over the footers of the files, which are in key order, finds
+    the shards that may hold a key; of these the Bloom filter, the block index and
+    one block are read.  No file is read as a whole.  An id that is not there
+    gives no row, one that has several entries a row each.
+    """
+    files, known = _files(spark, path), {}
+
+    def shard(i: int) -> Reader:
+        if i not in known:
+            known[i] = _opened(spark, *files[i])
+        return known[i]
+
+    rows = []
+    for wanted in ids:
+        key = key_of(wanted)
+        i = bisect_left(range(len(files)), key, key=lambda i: shard(i).last)
+        while i < len(files) and shard(i).first <= key:
+            rows += [(wanted, x.astype(int).tolist()) for x in shard(i).get(key)]
+            i += 1
+    return spark.createDataFrame(rows, "doc_id long, ids array<int>")
 
 
 def digest_shards(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every entry, read back from the files.
 
     Within a shard `start` is a running sum; the totals of the shards, one row
-    each, are summed up in order of their first keys and joined back.
+    each, are summed up within their partition, and those of the partitions
+    over all, in the order that the footers give, and joined back.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
                 reader = Reader(content.as_py())
-                shard, doc, start, count, crc, at = reader.first, [], [], [], [], 0
-                name = shard + (reader.last_keys[-1] if reader.index else b"") + struct.pack(">Q", reader.tokens)
+                doc, start, count, crc, at = [], [], [], [], 0
                 for key, ids in reader.scan():
                     doc.append(id_of(key))
                     start.append(at)
                     count.append(len(ids))
                     crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
                     at += len(ids)
+                place = [pa.array([x] * len(doc), pa.int64()) for x in reader.place]
                 yield pa.record_batch(
-                    [pa.array([name] * len(doc), pa.binary()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(count, pa.int64()), pa.array(crc, pa.int64())],
-                    names=["shard", "doc_id", "start", "n_tokens", "ids_crc32"],
+                    [*place, pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(count, pa.int64()), pa.array(crc, pa.int64())],
+                    names=["partition", "number", "doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    rows = cut(_contents(spark, path).mapInArrow(run, "shard binary, doc_id long, start long, n_tokens long, ids_crc32 long"))
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
-    before = totals.select("shard", (F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
-    return rows.join(before, "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    rows = cut(_contents(spark, path).mapInArrow(run, "partition long, number long, doc_id long, start long, n_tokens long, ids_crc32 long"))
+    totals = rows.groupBy("partition", "number").agg(F.sum("n_tokens").alias("total"))
+    until = Window.unboundedPreceding, -1
+    inside = totals.withColumn("inside", F.sum("total").over(Window.partitionBy("partition").orderBy("number").rowsBetween(*until)))
+    whole = totals.groupBy("partition").agg(F.sum("total").alias("whole"))
+    outside = whole.select("partition", F.sum("whole").over(Window.orderBy("partition").rowsBetween(*until)).alias("outside"))
+    before = inside.join(outside, "partition").select("partition", "number", (F.coalesce("inside", F.lit(0)) + F.coalesce("outside", F.lit(0))).alias("before"))
+    return rows.join(before, ["partition", "number"]).select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_to_shards(docs: DataFrame, path: str, folder: str, end: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -104,6 +104,33 @@ def test_shards_of_odd_documents(spark, odd_docs, no_docs, monkeypatch):
     assert sstable.encode_to_shards(no_docs, WORDS, folder).count() == 0
 
 
+def test_repeated_ids_over_shards(spark, monkeypatch):
+    """Equal rows that a shard's end parts have starts of their own; a look-up finds them all and reads ranges only."""
+    monkeypatch.setattr(sstable, "SHARD_TARGET", 40)
+    monkeypatch.setattr(sstable, "ENCODE_BYTES", 10)
+    text = "one two three four five six seven eight nine ten " * 2
+    docs = spark.createDataFrame([(i, text, 5, 6) for i in (7, 7, 7, 7, 3, 9)], "doc_id long, text string, partition int, number int")
+    n = len(Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids) + 1
+    out = sstable.write_shards(docs, WORDS, f"{shared_dir(spark)}/repeated")
+    rows = sorted(tuple(r)[:3] for r in sstable.digest_shards(spark, out).collect())
+    assert rows == [(i, k * n, n) for k, i in enumerate((3, 7, 7, 7, 7, 9))]
+    assert len(sstable._files(spark, out)) >= 4
+    read = []
+    opened = sstable._opened
+
+    def counted(*args):
+        reader = opened(*args)
+        own = reader.read
+        reader.read = lambda at, k: read.append(k) or own(at, k)
+        return reader
+
+    monkeypatch.setattr(sstable, "_opened", counted)
+    found = sstable.look_up(spark, out, [7, 8, 9, None]).groupBy("doc_id").count().collect()
+    assert sorted(map(tuple, found)) == [(7, 4), (9, 1)]
+    assert sstable.look_up(spark, out, []).count() == 0
+    assert read and max(read) < 400  # a Bloom filter, a block index or one block
+
+
 def brute_counts(text, library, rule):
     data = text.encode()
     starts = [0, *[i + 1 for i, b in enumerate(data) if b == 10 and i + 1 < len(data)]] if data else []
