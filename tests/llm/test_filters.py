@@ -32,8 +32,25 @@ def test_url_parts_and_odd_rows(spark):
     none = ("", "", None, "allow")
     assert found == [("a.example.com", "/En/x", "com/", "allow"), ("x.net", "", None, "allow"), none, none, none, ("h", "/p", None, "allow"), ("www.example.com", "/en/1", "www.example.com/en/", "allow"), ("example.com", "/en/1", "example.com/en/", "block"), ("a.com", "", None, "allow"), ("a.example.com", "/En/x", "com/", "allow")]
     assert url_filter.judge(df.limit(0), rules).count() == 0
-    with pytest.raises(ValueError, match="bound"):
-        url_filter.UrlTrie([("allow", "h", "p" * (65 << 20))])
+    twice = [tuple(r) for r in url_filter.judge(df.union(df), rules).collect()]
+    assert sorted(map(str, twice)) == sorted(map(str, [tuple(r) for r in url_filter.judge(df, rules).collect()] * 2))
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_rules_beyond_the_broadcast_bound(spark, monkeypatch, as_table):
+    """The join gives what the trie gives, and what brute force over all rules gives."""
+    rng = random.Random(4)
+    hosts = ["com", "a.com", "B.a.com", "net", "x.net", "com.net", ""]
+    paths = ["", "/", "/en", "/en/", "/en/us", "/en//", "/english"]
+    rules = list({(h.lower(), p): (rng.choice(["allow", "block"]), h, p) for h, p in ((rng.choice(hosts), rng.choice(paths)) for _ in range(25))}.values())
+    urls = [f"http://{h}{p}{q}" for h in [*hosts, "y.b.a.com", "com.", ".com", "a..com"] for p in [*paths, "/en/us/x.html", "/en//y"] for q in ("", "?a=/b", "#c")] + [None, "", "x", "http://"]
+    df = spark.createDataFrame([(i, u, 0, 0) for i, u in enumerate([*urls, *urls[:5]])] + [(None, urls[3], 0, 0)], "page_id long, url string, host int, verdict int")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string") if as_table else rules
+    trie = sorted(str(tuple(r)) for r in url_filter.judge(df, table).collect())
+    monkeypatch.setattr(url_filter, "MOST_RULE_BYTES", 10)
+    joined = sorted(str(tuple(r)) for r in url_filter.judge(df, table).collect())
+    assert joined == trie and len(joined) == len(urls) + 6
+    assert url_filter.judge(df.limit(0), table).count() == 0
 
 
 def brute_tiles(item, text, least):
@@ -123,6 +140,42 @@ def test_quality_on_held_out_labels(spark):
     assert kept == {r["doc_id"] for r in quality.score(docs, model).collect() if r["kept"]}
 
 
+def test_quality_beside_columns_of_its_own_names(spark):
+    docs, truth = labelled(spark, 80)
+    plain, marks = quality.fit(docs, truth.limit(40)), truth.limit(40)
+    other = docs.select("*", *[F.lit(1).alias(c) for c in ("quality", "a", "b", "mark", "kept", "score")])
+    model = quality.fit(other, marks.withColumn("text", F.lit("x")))
+    assert sorted(map(tuple, quality.score(other, model).collect())) == sorted(map(tuple, quality.score(docs, plain).collect()))
+
+
+def test_views_teach_each_other_from_all_documents(spark):
+    """The surest documents of a round are those of the whole corpus, by brute force over all logits."""
+    docs, truth = labelled(spark, 400)
+    marks = truth.where("doc_id < 120")
+    rule = quality.ByteRule(quality.PUNCTUATED)
+    rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
+    text = quality.text_features(quality.pa.array([r["text"] for r in rows]), rule)
+    meta = quality.meta_features(*([r[c] for r in rows] for c in ("lang", "source", "n_chars")))
+    own = dict(marks.collect())
+    first = quality.Model([(text[i], meta[i], own[i]) for i in sorted(own)], lambda views, good, bad: [], rounds=1)
+    pool, seen = [i for i in range(400) if i not in own], []
+
+    def surest(views, good, bad):
+        for view, x in zip(views, (text, meta), strict=True):
+            z = np.round(view.logit(x), 9)
+            seen.append((sorted((z[i] for i in pool if z[i] > 0), reverse=True)[:good], sorted(z[i] for i in pool if z[i] < 0)[:bad]))
+            for picks, m in ((sorted((i for i in pool if z[i] > 0), key=lambda i: -z[i])[:good], 1), (sorted((i for i in pool if z[i] < 0), key=lambda i: z[i])[:bad], 0)):
+                chosen.update({i: m for i in picks if i not in chosen})
+        return [(text[i], meta[i], m) for i, m in sorted(chosen.items())]
+
+    chosen: dict = {}
+    brute = quality.Model([(text[i], meta[i], own[i]) for i in sorted(own)], surest, rounds=1, per_round=20)
+    found = quality.fit(docs, marks, rounds=1, per_round=20)
+    assert any(len(g) and len(b) for g, b in seen)
+    a, b, c = (m.scores(text, meta)[:, 2] for m in (found, brute, first))
+    assert np.abs(a - b).max() < 0.05 and np.abs(a - c).max() > 0
+
+
 def test_quality_of_odd_rows(spark):
     docs, truth = labelled(spark, 60)
     odd = spark.createDataFrame([(900, None, None, None, None, 1), (901, "", "en", "x", 0, 1), (902, "a b", "en", "x", 3, 1), (902, "a b", "en", "x", 3, 1), (None, "a", "en", "x", 1, 1)], "doc_id long, text string, lang string, source string, n_chars long, score int")
