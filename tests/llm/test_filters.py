@@ -87,7 +87,7 @@ def test_tiles_against_brute_force():
 
 
 def test_leaks(spark, odd_docs, no_docs, monkeypatch):
-    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 200)  # several blocks
+    monkeypatch.setattr(decontaminate, "SEED_BITS", 64)  # a full bitmap lets everything through
     words = [f"w{i}" for i in range(40)]
     item = " ".join(words)
     moved = " ".join([*words[20:], "between", *words[:20]])
@@ -101,6 +101,55 @@ def test_leaks(spark, odd_docs, no_docs, monkeypatch):
     assert decontaminate.decontaminate(odd_docs, bench).count() == odd_docs.count()
 
 
+def test_least_seeds_by_brute_force():
+    """Tiles of five words and more that cover an item to the limit never have fewer seeds."""
+
+    def fewest(n, least):
+        """Least number of seeds of tilings of at least `least` of n words."""
+        best = {0: 0}
+        for _ in range(n // 5 + 1):
+            best |= {c + k: min(best.get(c + k, 99), s + k - 4) for c, s in list(best.items()) for k in range(5, n - c + 1)}
+        return min(s for c, s in best.items() if c >= least)
+
+    for n in range(5, 45):
+        for coverage in (0.3, 0.5, 0.8, 1.0):
+            low = max(5, int(np.ceil(coverage * n - 1e-9)))
+            if low <= n:
+                assert decontaminate.least_seeds(n, coverage) <= fewest(n, low)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 16, 1 << 26])
+@pytest.mark.parametrize("coverage", [0.8, 0.4])
+def test_overlaps_against_brute_force(spark, monkeypatch, bits, coverage):
+    """All pairs, tiled word by word; repeated rows on both sides, and seeds that many documents share."""
+    monkeypatch.setattr(decontaminate, "SEED_BITS", bits)
+    rng = random.Random(bits)
+    common = [f"c{i}" for i in range(12)]
+    text = lambda n: [rng.choice(["a", "b", *[f"w{i}" for i in range(40)]]) for _ in range(n)]
+    items = [common[:6] + text(rng.randint(0, 20)) for _ in range(12)] + [text(rng.randint(3, 9)) for _ in range(6)]
+    items.append(items[0])
+    docs = []
+    for _ in range(60):
+        words = text(rng.randint(0, 10)) + common
+        for _ in range(rng.randint(0, 3)):
+            own = rng.choice(items)
+            at = rng.randrange(len(own))
+            words += own[at:] + text(rng.randint(0, 2)) + own[:at]
+        docs.append(words)
+    docs.append(docs[0])
+    want = []
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            n = brute_tiles(item, doc, 5)
+            if len(item) >= 5 and n >= coverage * len(item):
+                want.append((d, i, len(item), n))
+    df = spark.createDataFrame([(i, " ".join(w), 1, 2, 3) for i, w in enumerate(docs)], "doc_id long, text string, item long, row long, seed long")
+    bench = spark.createDataFrame([(i, " ".join(w), 1, 2) for i, w in enumerate(items)], "item_id int, text string, item long, often long")
+    found = decontaminate.overlaps(df, bench, coverage)
+    assert sorted(tuple(r)[:4] for r in found.collect()) == want and found.columns[:2] == ["doc_id", "item_id"]
+    assert decontaminate.overlaps(df.union(df), bench.union(bench), coverage).count() == 4 * len(want)
+
+
 def test_licences(spark, odd_docs, no_docs):
     scanner = licences.fit(odd_docs)
     lines = {
