@@ -4,16 +4,21 @@ Vectors are compared by chord distance of their unit vectors, a metric, in
 which cosine >= c means distance <= sqrt(2 - 2c).
 
 1. Equal vectors of a group form a class; one of them stands for it.
-2. The first levels of a tree, an r-net with halving radii over a bounded sample
-   (PIVOT_SAMPLE, PIVOTS), cut each group into cells of known covering radius.
-   They only route: any vector goes to its nearest pivot, and a cell with more
-   than CELL_ROWS vectors is dealt out further.
-3. A vector meets a cell if the cell's covering radius lets them be near.  In
-   each task two cells get their cover trees: nested levels with halving radii,
-   each node with its covering radius.  Node pairs farther apart than the
-   threshold and both radii are pruned; the rest are opened until points are
-   left, whose cosine is computed in double precision.
-4. Per vector the links are counted, and a spanning forest goes on to the
+2. The upper levels of the tree are tables.  A cell, first a whole group, that has more
+   than CELL_ROWS vectors is cut: an r-net with halving radii over PIVOT_SAMPLE of
+   its vectors gives centres, and each vector goes to the nearest, which
+   makes a child cell with a covering radius.  This goes on as long as a cell
+   is large and its net has more than one centre.  The centres only route.
+3. Every vector walks down from its group's cell to all cells that could hold
+   something near: those whose centre is no farther than the threshold and
+   the covering radius together.  A cell that stays large, because its vectors are
+   all alike or all far from each other, is dealt out in parts, which meet each other.
+4. Where two cells meet, a task builds their cover trees: nested levels with
+   halving radii, each node with its covering radius.  Node pairs farther apart
+   than the threshold and both radii are pruned; the rest are opened until points are
+   left, whose cosine is computed in double precision.  A distance is computed
+   when a node is dealt to a centre or a node pair is visited, never ahead.
+5. Per vector the links are counted, and a spanning forest goes on to the
    components.
 """
 
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkloom.llm.common import cut
@@ -33,87 +38,120 @@ from inkloom.llm.minhash import _groups
 
 #: Vectors of one cell in one task.
 CELL_ROWS = 2048
-#: Vectors from which pivots are taken, and pivots of all groups at most.
-PIVOT_SAMPLE = 4096
-PIVOTS = 1024
-#: Node pairs that a traversal opens at once.
-FRONT = 1 << 19
+#: Vectors of a large cell from which its centres are taken, and centres of a cell at most.
+PIVOT_SAMPLE = 1024
+FANOUT = 64
+#: Vectors of a cell that one task deals out to its children.
+ROUTE_ROWS = 1 << 16
+#: Distances that a traversal computes at once.
+FRONT = 1 << 20
 SLACK = 1e-9
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Chord distances of unit vectors."""
+    return np.sqrt(np.maximum(0, 2 - 2 * (x @ y.T)))
+
+
 class CoverTree:
     """Nodes with a centre (row), a covering radius, and children; a leaf is one row."""
 
     def __init__(self, unit: np.ndarray):
         n = len(unit)
+        self.unit, self.measured = unit, 0
         self.centre, self.radius, self.child_from, self.child_to = [], [], [], []
-        distance = np.sqrt(np.maximum(0, 2 - 2 * (unit @ unit.T))) if n else np.zeros((0, 0))
-        rows: list[np.ndarray] = []
+        rows: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def node(centre: int, members: np.ndarray) -> None:
+        def node(centre: int, members: np.ndarray, away: np.ndarray) -> None:
             self.centre.append(centre)
-            self.radius.append(float(distance[centre, members].max()) if len(members) > 1 else 0.0)
+            self.radius.append(float(away.max()) if len(members) > 1 else 0.0)
             self.child_from.append(0)
             self.child_to.append(0)
-            rows.append(members)
+            rows.append((members, away))
 
         if n:
-            node(0, np.arange(n))
+            self.measured += n
+            node(0, np.arange(n), _apart(unit, unit[:1])[:, 0])
         at, reach = 0, 2.0
         while at < len(rows):
             stop = len(rows)
             reach /= 2
             for k in range(at, stop):
-                members = rows[k]
-                rows[k] = members[:0]
-                if len(members) == 1:
+                left, away = rows[k]
+                rows[k] = (left[:0], away[:0])
+                if len(left) == 1:
                     continue
                 self.child_from[k] = len(rows)
                 if self.radius[k] <= 1e-7:  # numerically one point: no level tells them apart
-                    for m in members:
-                        node(int(m), np.array([m]))
+                    for m in left:
+                        node(int(m), np.array([m]), np.zeros(1))
                 else:
-                    left = members[np.argsort(members != self.centre[k], kind="stable")]  # the centre stays a centre: levels are nested
+                    first = int(self.centre[k])  # the centre stays a centre: levels are nested
                     while len(left):
-                        near = distance[left[0], left] <= reach
-                        near[0] = True
-                        node(int(left[0]), left[near])
+                        near = (away <= reach) | (left == first)
+                        node(first, left[near], away[near])
                         left = left[~near]
+                        if len(left):
+                            first = int(left[0])
+                            self.measured += len(left)
+                            away = _apart(unit[left], unit[first : first + 1])[:, 0]
                 self.child_to[k] = len(rows)
             at = stop
         self.centre, self.radius = np.array(self.centre, dtype=np.int64), np.array(self.radius)
         self.child_from, self.child_to = np.array(self.child_from, dtype=np.int64), np.array(self.child_to, dtype=np.int64)
 
+    def opened(self, nodes: np.ndarray) -> np.ndarray:
+        """The children of nodes."""
+        lo, n = self.child_from[nodes], self.child_to[nodes] - self.child_from[nodes]
+        return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+
 
-def near_pairs(a: np.ndarray, b: np.ndarray | None, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of two sets of unit vectors within the distance, or the pairs x < y of one set."""
-    one = CoverTree(a)
-    two = one if b is None else CoverTree(b)
+def near_pairs(a: np.ndarray | CoverTree, b: np.ndarray | CoverTree | None, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of two sets of unit vectors within the distance, or the pairs x < y of one set.
+
+    A node of the first tree goes down with all nodes of the second that may be
+    near; whichever side has the larger radius is opened first.
+    """
+    one = a if isinstance(a, CoverTree) else CoverTree(a)
+    two = one if b is None else b if isinstance(b, CoverTree) else CoverTree(b)
     if not len(one.centre) or not len(two.centre):
         return
-    distance = np.sqrt(np.maximum(0, 2 - 2 * (a @ (a if b is None else b).T)))
-    stack = [(np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
+
+    def given(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (x, y) if b is not None else (x[x < y], y[x < y])
+
+    def close(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        one.measured += len(p) * len(q)
+        return _apart(one.unit[one.centre[p]], two.unit[two.centre[q]]) <= limit + SLACK + one.radius[p][:, None] + two.radius[q]
+
+    stack = [(0, np.zeros(1, dtype=np.int64))]
+    if not close(np.zeros(1, dtype=np.int64), stack[0][1]).any():
+        return
     while stack:
         p, q = stack.pop()
-        if len(p) > FRONT:
-            stack += [(p[i : i + FRONT], q[i : i + FRONT]) for i in range(0, len(p), FRONT)]
+        own = np.array([p])
+        while True:  # the second side down to radii like that of p
+            inner = (two.child_to[q] > 0) & (two.radius[q] >= one.radius[p])
+            if not inner.any():
+                break
+            deeper = two.opened(q[inner])
+            q = np.concatenate([q[~inner], deeper[close(own, deeper)[0]]])
+        if not len(q):
             continue
-        keep = distance[one.centre[p], two.centre[q]] <= limit + one.radius[p] + two.radius[q] + SLACK
-        p, q = p[keep], q[keep]
-        leaf_p, leaf_q = one.child_to[p] == 0, two.child_to[q] == 0
-        both = leaf_p & leaf_q
-        if both.any():
-            x, y = one.centre[p[both]], two.centre[q[both]]
-            yield (x, y) if b is not None else (x[x < y], y[x < y])
-        first = ~both & ~leaf_p & (leaf_q | (one.radius[p] >= two.radius[q]))
-        second = ~both & ~first
-        for side, tree, pick in ((p, one, first), (q, two, second)):
-            if pick.any():
-                lo, hi = tree.child_from[side[pick]], tree.child_to[side[pick]]
-                n = hi - lo
-                opened = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-                stay = np.repeat((q if side is p else p)[pick], n)
-                stack.append((opened, stay) if side is p else (stay, opened))
+        if not one.child_to[p]:  # a leaf: radius 0, so q has only leaves left
+            yield given(np.full(len(q), one.centre[p]), two.centre[q])
+            continue
+        kids, points = one.opened(own), two.child_to[q] == 0
+        step = max(1, FRONT // len(q))
+        for at in range(0, len(kids), step):
+            part = kids[at : at + step]
+            near = close(part, q)
+            leaf = one.child_to[part] == 0
+            x, y = np.nonzero(near & leaf[:, None] & points)
+            if len(x):
+                yield given(one.centre[part[x]], two.centre[q[y]])
+            for i in np.flatnonzero((near & ~(leaf[:, None] & points)).any(axis=1)):
+                stack.append((int(part[i]), q[near[i] & ~(leaf[i] & points)]))
 
 
 def _net(unit: np.ndarray, most: int) -> np.ndarray:
@@ -148,6 +186,104 @@ def _spanning(n: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndar
     return moved, label[moved]
 
 
+def _unit(column: pa.Array) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), -1)
+    return raw / np.linalg.norm(raw, axis=1)[:, None]
+
+
+_MEMBER = "cell long, rep long, copies long, vector binary"
+
+
+def _with_children(rows: DataFrame, children: DataFrame, sizes: DataFrame, run, schema: str) -> DataFrame:
+    """run(children, rows) where the rows of a cell meet its children: in tasks of ROUTE_ROWS rows, each with a copy of the children, of which there are FANOUT at most."""
+    dealt = rows.join(sizes, "cell").select(F.lit(1).alias("kind"), "cell", F.pmod(F.xxhash64("rep", F.lit(7)), "salts").cast("int").alias("salt"), "rep", "copies", "vector", "home", F.lit(0.0).alias("radius"))
+    heads = children.join(sizes, "cell").select(F.lit(0).alias("kind"), "cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("child").alias("rep"), F.lit(0).cast("long").alias("copies"), F.col("centre").alias("vector"), F.lit(0).cast("long").alias("home"), "radius")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, centres = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell, kind = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            salt = batch.column(2).to_numpy()
+            edges = [0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(salt) != 0) | (np.diff(kind) != 0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if kind[lo] == 0:
+                    if now != (cell[lo], salt[lo]):
+                        now, held = (cell[lo], salt[lo]), []
+                    held.append(part)
+                    centres = None
+                    continue
+                if centres is None:
+                    known = pa.Table.from_batches(held).combine_chunks()
+                    centres = known.column("rep").to_numpy(), _unit(known.column("vector").combine_chunks()), known.column("radius").to_numpy()
+                for at in range(0, part.num_rows, 4096):
+                    yield run(centres, part.slice(at, 4096))
+
+    both = heads.unionByName(dealt).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "kind")
+    return both.mapInArrow(each, schema)
+
+
+def _meetings(classes: DataFrame, limit: float) -> DataFrame:
+    """(cell_group, lo, hi, side, rep, copies, vector): each vector once for each pair of cells, or parts of cells, in which it may have links."""
+    placed = classes.select(F.col("cell_group").alias("cell"), "rep", "copies", "vector", F.lit(2.0).alias("away"))
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    reach = 2.0
+    while reach > limit / 4:  # a finer cell has nothing but links
+        large = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("r")).where((F.col("n") > CELL_ROWS) & (F.col("r") > limit / 2))
+        sizes = large.select("cell", F.ceil(F.col("n") / ROUTE_ROWS).cast("int").alias("salts"))
+        by = Window.partitionBy("cell").orderBy(F.xxhash64("rep"), "rep")
+        sample = placed.join(large.select("cell"), "cell", "left_semi").select("cell", "vector", F.row_number().over(by).alias("k")).where(F.col("k") <= PIVOT_SAMPLE)
+
+        def centres(table: pa.Table) -> pa.Table:
+            found = _net(_unit(table.column("vector").combine_chunks()), FANOUT)
+            cell, n = table.column("cell")[0].as_py(), len(found) if len(found) > 1 else 0
+            child = [xxhash.xxh3_64_intdigest(f"{cell}/{i}") - (1 << 63) for i in range(n)]
+            return pa.table({"cell": pa.array([cell] * n, pa.int64()), "child": pa.array(child, pa.int64()), "centre": pa.array([x.tobytes() for x in found[:n]], pa.binary())})
+
+        heads = cut(sample.groupBy("cell").applyInArrow(centres, "cell long, child long, centre binary"))
+        if heads.isEmpty():
+            break
+
+        def nearest(known, part: pa.RecordBatch) -> pa.RecordBatch:
+            child, centre, _ = known
+            d = _apart(_unit(part.column("vector")), centre)
+            at = d.argmin(axis=1)
+            return pa.record_batch([pa.array(child[at]), *(part.column(c) for c in ("rep", "copies", "vector")), pa.array(d[np.arange(len(at)), at])], names=["cell", "rep", "copies", "vector", "away"])
+
+        split = placed.join(heads.select("cell").distinct(), "cell", "left_semi").withColumn("home", F.lit(0).cast("long"))
+        moved = _with_children(split, heads.withColumn("radius", F.lit(0.0)), sizes, nearest, f"{_MEMBER}, away double")
+        placed = cut(placed.join(heads.select("cell").distinct(), "cell", "left_anti").unionByName(moved))
+        radii = placed.groupBy(F.col("cell").alias("child")).agg(F.max("away").alias("radius"))
+        levels.append((heads.join(radii, "child"), sizes))
+        reach /= 2
+
+    home = placed.select("rep", F.col("cell").alias("home"))
+    front = classes.select(F.col("cell_group").alias("cell"), "rep", "copies", "vector").join(home, "rep")
+    for children, sizes in levels:
+
+        def near(known, part: pa.RecordBatch) -> pa.RecordBatch:
+            child, centre, radius = known
+            i, j = np.nonzero(_apart(_unit(part.column("vector")), centre) <= limit + radius + SLACK)
+            took = pa.array(i)
+            return pa.record_batch([pa.array(child[j]), *(part.column(c).take(took) for c in ("rep", "copies", "vector", "home"))], names=["cell", "rep", "copies", "vector", "home"])
+
+        parents = children.select("cell").distinct()
+        down = _with_children(front.join(parents, "cell", "left_semi"), children, front.groupBy("cell").agg(F.ceil(F.count("*") / ROUTE_ROWS).cast("int").alias("salts")), near, f"{_MEMBER}, home long")
+        front = cut(front.join(parents, "cell", "left_anti").select("cell", "rep", "copies", "vector", "home").unionByName(down))
+    parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts"))
+    front = front.join(parts.withColumnRenamed("parts", "other_parts"), "cell").join(parts.select(F.col("cell").alias("home"), "parts"), "home")
+    return (
+        front.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        .withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
+        .withColumn("own", F.struct(F.col("home").alias("cell"), "part"))
+        .withColumn("theirs", F.struct("cell", F.col("other_part").alias("part")))
+        .withColumn("side", (F.col("own") > F.col("theirs")).cast("int"))
+        .select(F.lit(0).cast("long").alias("cell_group"), F.xxhash64(F.least("own", "theirs")).alias("lo"), F.xxhash64(F.greatest("own", "theirs")).alias("hi"), "side", "rep", "copies", "vector")
+    )
+
+
 def near_duplicates(rows: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) of each row; rows are compared only within equal groups.
 
@@ -178,67 +314,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     base = rows.select(rows[id_col].cast("long").alias("id"), rows[group_col].alias("grp"), rows[vector_col].cast("array<double>").alias("v")).mapInArrow(read, f"id long, grp {kind}, vector binary, mark binary")
     base = cut(base.withColumn("cell_group", F.xxhash64("grp", F.length("vector"))))
     classes = cut(base.where("vector is not null").groupBy("cell_group", "mark").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"), F.first("vector").alias("vector")))
-
-    sizes = {r["cell_group"]: r["n"] for r in classes.groupBy("cell_group").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(PIVOTS).collect() if r["n"] > CELL_ROWS}
-    pivots: dict[int, np.ndarray] = {}
-    if sizes:  # the bounded sample; smaller groups are one cell
-        each = max(1, PIVOT_SAMPLE // len(sizes))
-        drawn = classes.where(F.col("cell_group").isin(list(sizes))).select("cell_group", "vector").orderBy(F.xxhash64("mark")).limit(each * len(sizes))
-        by: dict[int, list[np.ndarray]] = {}
-        for r in drawn.collect():
-            v = np.frombuffer(r["vector"])
-            by.setdefault(r["cell_group"], []).append(v / np.linalg.norm(v))
-        pivots = {g: _net(np.stack(v), max(2, PIVOTS // len(sizes))) for g, v in by.items()}
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, away = [], []
-            for g, v in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if g not in pivots:
-                    cell.append(0)
-                    away.append(2.0)
-                    continue
-                x = np.frombuffer(v)
-                d = pivots[g] @ (x / np.linalg.norm(x))
-                cell.append(int(np.argmax(d)))
-                away.append(float(np.sqrt(max(0.0, 2 - 2 * d[cell[-1]]))))
-            yield pa.record_batch([*batch.columns, pa.array(cell, pa.int32()), pa.array(away, pa.float64())], names=["cell_group", "rep", "copies", "vector", "cell", "away"])
-
-    placed = cut(classes.select("cell_group", "rep", "copies", "vector").mapInArrow(assign, "cell_group long, rep long, copies long, vector binary, cell int, away double"))
-    cells = {}  # only of the groups that have pivots, so no more than PIVOTS
-    if pivots:
-        for r in placed.where(F.col("cell_group").isin(list(pivots))).groupBy("cell_group", "cell").agg(F.max("away").alias("r"), F.count("*").alias("n")).collect():
-            cells.setdefault(r["cell_group"], []).append((r["cell"], r["r"], -(-r["n"] // CELL_ROWS)))
-    alone = placed.groupBy("cell_group").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts"))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take, other, parts, other_parts = [], [], [], []
-            for i, (g, v, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-                x = np.frombuffer(v)
-                d = np.sqrt(np.maximum(0, 2 - 2 * (pivots[g] @ (x / np.linalg.norm(x)))))
-                mine = next(n for c, _, n in cells[g] if c == own)
-                for c, r, n in cells[g]:
-                    if c == own or d[c] <= limit + r + SLACK:
-                        take.append(i)
-                        other.append(c)
-                        parts.append(mine)
-                        other_parts.append(n)
-            yield pa.record_batch([*batch.take(pa.array(take, pa.int32())).columns[:5], pa.array(other, pa.int32()), pa.array(parts, pa.int32()), pa.array(other_parts, pa.int32())], names=["cell_group", "rep", "copies", "vector", "cell", "other", "parts", "other_parts"])
-
-    small = placed.where(~F.col("cell_group").isin(list(pivots)) if pivots else F.lit(True)).join(alone, "cell_group")
-    small = small.select("cell_group", "rep", "copies", "vector", "cell", F.lit(0).alias("other"), "parts", F.col("parts").alias("other_parts"))
-    if pivots:
-        large = placed.where(F.col("cell_group").isin(list(pivots)))
-        small = small.unionByName(large.mapInArrow(route, "cell_group long, rep long, copies long, vector binary, cell int, other int, parts int, other_parts int"))
-    met = (
-        small.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-        .withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
-        .withColumn("own", F.struct("cell", "part"))
-        .withColumn("theirs", F.struct(F.col("other").alias("cell"), F.col("other_part").alias("part")))
-        .withColumn("side", (F.col("own") > F.col("theirs")).cast("int"))
-        .select("cell_group", F.xxhash64(F.least("own", "theirs")).alias("lo"), F.xxhash64(F.greatest("own", "theirs")).alias("hi"), "side", "rep", "copies", "vector")
-    )
+    met = _meetings(classes, limit)
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
@@ -253,8 +329,8 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
             count, xs, ys = np.zeros(len(rep), dtype=np.int64), [], []
             for x, y in near_pairs(unit[first], None if second is None else unit[second], limit):
                 x, y = first[x], (first if second is None else second)[y]
-                for at in range(0, len(x), FRONT // 8):
-                    i, j = x[at : at + FRONT // 8], y[at : at + FRONT // 8]
+                for at in range(0, len(x), FRONT // 16):
+                    i, j = x[at : at + FRONT // 16], y[at : at + FRONT // 16]
                     keep = np.einsum("ij,ij->i", raw[i], raw[j]) / (norm[i] * norm[j]) >= cosine
                     i, j = i[keep], j[keep]
                     np.add.at(count, i, copies[j])

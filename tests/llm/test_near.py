@@ -1,9 +1,10 @@
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
-from inkloom.llm import cover_tree, graph, minhash
+from inkloom.llm import cover_tree, graph, minhash, queries
 
 
 def groups(n, linked):
@@ -103,6 +104,64 @@ def test_cover_tree_against_brute_force(spark, monkeypatch, cell):
     assert found == brute_vectors(rows, 0.93)
 
 
+def clustered(n, dims, clusters, noise, seed=7):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(clusters, dims))[rng.integers(0, clusters, n)] + rng.normal(size=(n, dims)) * noise
+
+
+def expected(vectors, labels, least):
+    """n_links and component of each row, from the full matrix."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = (unit @ unit.T >= least) & (labels[:, None] == labels)
+    np.fill_diagonal(near, False)
+    component = np.arange(len(vectors))
+    while True:
+        lowest = np.minimum(component, np.where(near, component, len(vectors)).min(axis=1))
+        if (lowest == component).all():
+            return near.sum(axis=1), component
+        component = lowest
+
+
+@pytest.mark.parametrize(("dims", "clusters", "noise"), [(3, 300, 0.02), (8, 60, 0.15), (32, 2, 1.0)])
+def test_cover_tree_of_many_cells(spark, monkeypatch, dims, clusters, noise):
+    """Thousands of rows with many links, in cells of several levels, hot cells, and cells that no net can cut."""
+    monkeypatch.setattr(cover_tree, "CELL_ROWS", 150)
+    monkeypatch.setattr(cover_tree, "PIVOT_SAMPLE", 200)
+    monkeypatch.setattr(cover_tree, "ROUTE_ROWS", 400)
+    vectors = clustered(3000, dims, clusters, noise)
+    labels = np.where(np.arange(3000) % 10 < 8, 0, np.arange(3000) % 3)
+    df = spark.createDataFrame([(i, int(g), v.tolist()) for i, (g, v) in enumerate(zip(labels, vectors, strict=True))], "vec_id long, label int, embedding array<double>")
+    n, component = expected(vectors, labels, 0.93)
+    found = sorted(tuple(r) for r in cover_tree.near_duplicates(df, 0.93).collect())
+    assert found == [(i, int(n[i]), int(component[i]), i == component[i]) for i in range(3000)]
+    assert dims == 32 or n.sum() > 3000
+
+
+def test_cover_tree_against_its_sql(spark, tmp_path):
+    """The registered query and its SQL on a table with links, null and odd vectors."""
+    vectors = clustered(1500, 16, 200, 0.12)
+    rows = [(i, i % 4, v.tolist()) for i, v in enumerate(vectors)] + [(2000, 1, None), (2001, None, [1.0] * 16), (2002, 1, [0.0] * 16), (2003, 1, [float("nan")] * 16), (2004, 1, [1.0, None])]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = duck.execute(f"select vec_id, n_links, component_id, kept from ({queries.ORACLES['op8_cover_tree']})").fetchall()
+    found = [tuple(r) for r in queries.op8_cover_tree(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(want) and sum(r[1] for r in found) > 1000
+
+
+def test_distances_are_computed_when_visited():
+    """Far fewer than all pairs where there are clusters, both to build the trees and to meet."""
+    x = clustered(2000, 6, 100, 0.01)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    one, two = cover_tree.CoverTree(x[:1000]), cover_tree.CoverTree(x[1000:])
+    built = one.measured + two.measured
+    found = {(int(a), int(b)) for p, q in cover_tree.near_pairs(one, two, 0.05) for a, b in zip(p, q, strict=True)}
+    d = cover_tree._apart(x[:1000], x[1000:])
+    assert {(int(a), int(b)) for a, b in np.argwhere(d <= 0.05)} <= found and len(found) <= (d <= 0.06).sum()
+    met = one.measured + two.measured - built
+    assert built < 2 * 1000 * 1000 // 10 and met < 1000 * 1000 // 5
+
+
 def test_cover_tree_without_rows(spark):
     assert cover_tree.near_duplicates(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
 
