@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 #: Inside of a regex class: what Python's str.split and \s take for white space.
 WS = r"\t\n\x0B\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _S = f"[{WS}]"
-_LINE_ENDS = r"\r\n|[\n\r\x0B\f\x1c-\x1e\x85\u2028\u2029]"
+_LINE_END = r"[\n\r\x0B\f\x1c-\x1e\x85\u2028\u2029]"
+_IN_LINE = r"[\t\x1f \xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+#: The same characters one by one.
+_WS_CHARS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # What counts as noise in the text of a paper.
 HYPHEN_BREAK = r"(?U)(\w)-\n(\w)"
@@ -31,7 +34,7 @@ def drop(text: Column, pattern: str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return drop(text, rf"^[{WS}]+|[{WS}]+\z")
+    return F.btrim(text, F.lit(_WS_CHARS))
 
 
 def squeeze(text: Column) -> Column:
@@ -44,17 +47,17 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    return F.regexp_count(text, F.lit(rf"[^{WS}]+"))
 
 
 def nfkc(text: Column) -> Column:
-    """Compatibility normal form; Spark has none of its own."""
+    """Compatibility normal form; Spark has none of its own.  ASCII is its own form and does not go to Python."""
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
-    return run(text)
+    return F.coalesce(run(F.when(F.octet_length(text) != F.length(text), text)), text)
 
 
 def join_hyphens(text: Column) -> Column:
@@ -78,9 +81,8 @@ def squeeze_blanks(text: Column) -> Column:
 
 
 def tidy_lines(text: Column) -> Column:
-    """Lines without white space at their ends; empty ones go."""
-    lines = F.transform(F.split(text, _LINE_ENDS), strip)
-    return F.array_join(F.filter(lines, lambda line: line != ""), "\n")
+    """Lines without white space at their ends; empty ones go: any white space with a line end in it becomes one line end."""
+    return strip(F.regexp_replace(text, rf"{_IN_LINE}*{_LINE_END}{_S}*", "\n"))
 
 
 def clean(text: Column, normalise: bool = True) -> Column:

@@ -1,12 +1,15 @@
-"""Chunks of bounded size: sentences and paragraphs packed by folds, and recursive splitting."""
+"""Chunks of bounded size: sentences and paragraphs packed in order, and recursive splitting."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import MIN_CHARS, WS, strip, token_estimate, word_count
+from inkloom.functions.text import MIN_CHARS, WS, token_estimate
 
 # Sizes of chunks in words and characters.
 MAX_WORDS, MIN_WORDS = 400, 10
@@ -18,41 +21,54 @@ def sentences(text: Column) -> Column:
     return F.split(text, rf"(?<=[.!?])[{WS}]+")
 
 
-_STATE = "struct<done:array<string>,buf:array<string>,n:int>"
-
-
-def _empty() -> Column:
-    return F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("buf"), F.lit(0).alias("n")).cast(_STATE)
-
+_SENTENCE = re.compile(rf"(?<=[.!?])[{WS}]+")
 
-def _flushed(state: Column) -> Column:
-    return F.when(F.size(state["buf"]) > 0, F.array_append(state["done"], F.array_join(state["buf"], " "))).otherwise(state["done"])
 
+def packed(parts: Iterable[str], most: int) -> list[str]:
+    """Adjacent parts joined by blanks while they have at most `most` words; a longer part stays alone.  Words are counted once."""
+    groups: list[list[str]] = []
+    room = -1
+    for part in parts:
+        n = len(part.split())
+        if groups and n <= room:
+            groups[-1].append(part)
+            room -= n
+        else:
+            groups.append([part])
+            room = most - n
+    return [" ".join(g) for g in groups]
 
-def _state(done: Column, buf: Column, n: Column) -> Column:
-    return F.struct(done.alias("done"), buf.alias("buf"), n.cast("int").alias("n"))
 
+def packed_paragraphs(paragraphs: Iterable[str], most: int, least: int) -> list[str]:
+    out: list[str] = []
+    run: list[str] = []
+    for paragraph in paragraphs:
+        if len(paragraph.split()) <= most:
+            run.append(paragraph)
+            continue
+        out += [*packed(run, most), *packed(_SENTENCE.split(paragraph), most)]
+        run = []
+    return [c for c in [*out, *packed(run, most)] if len(c.split()) >= least]
 
-def _pack(parts: Column, most: int, oversize) -> Column:
-    def step(state: Column, part: Column) -> Column:
-        n = word_count(part)
-        full = (state["n"] + n > most) & (F.size(state["buf"]) > 0)
-        normal = F.when(full, _state(_flushed(state), F.array(part), n)).otherwise(_state(state["done"], F.array_append(state["buf"], part), state["n"] + n))
-        if oversize is None:
-            return normal
-        return F.when(n > most, _state(F.concat(_flushed(state), oversize(part)), F.array().cast("array<string>"), F.lit(0))).otherwise(normal)
 
-    return F.aggregate(parts, _empty(), step, _flushed)
+def pack_sentences(text: Column, most: int = MAX_WORDS) -> Column:
+    """Runs of sentences of at most `most` words, none of them blank; a longer sentence stays whole.  What fits depends on all before it, so it is one pass over Arrow batches."""
 
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else [c for c in packed(_SENTENCE.split(t), most) if c.strip()])
 
-def pack_sentences(text: Column, most: int = MAX_WORDS) -> Column:
-    """Runs of sentences of at most `most` words; a longer sentence stays whole."""
-    return F.filter(_pack(sentences(text), most, None), lambda p: strip(p) != "")
+    return run(text)
 
 
 def pack_paragraphs(paragraphs: Column, most: int = MAX_WORDS, least: int = MIN_WORDS) -> Column:
     """Runs of paragraphs of at most `most` words; longer ones are packed by sentences; under `least` words go."""
-    return F.filter(_pack(paragraphs, most, lambda p: pack_sentences(p, most)), lambda c: word_count(c) >= least)
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else packed_paragraphs([p for p in t if p is not None], most, least))
+
+    return run(paragraphs)
 
 
 def split_recursively(text: str, size: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, separators: tuple[str, ...] = SEPARATORS) -> list[str]:

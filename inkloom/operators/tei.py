@@ -18,11 +18,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.operators.chunking import MAX_WORDS, MIN_WORDS
+from inkloom.operators.chunking import MAX_WORDS, MIN_WORDS, packed_paragraphs
 
 _T = "{http://www.tei-c.org/ns/1.0}"
 _ID = "{http://www.w3.org/XML/1998/namespace}id"
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 @dataclass(frozen=True)
@@ -70,35 +69,6 @@ def text_of(el: ET.Element | None) -> str:
     return " ".join(unicodedata.normalize("NFKC", " ".join(_strings(el))).split())
 
 
-def _packed(parts: list[str], most: int, weigh=lambda p: len(p.split())) -> list[list[str]]:
-    groups: list[list[str]] = []
-    room = -1
-    for part in parts:
-        n = weigh(part)
-        if groups and n <= room:
-            groups[-1].append(part)
-            room -= n
-        else:
-            groups.append([part])
-            room = most - n
-    return groups
-
-
-def pack(paragraphs: list[str], most: int, least: int) -> list[str]:
-    """As chunking.pack_paragraphs, for text that is in Python already."""
-    out: list[str] = []
-    run: list[str] = []
-    for paragraph in [*paragraphs, None]:
-        if paragraph is not None and len(paragraph.split()) <= most:
-            run.append(paragraph)
-            continue
-        out += [" ".join(g) for g in _packed(run, most)]
-        run = []
-        if paragraph is not None:
-            out += [" ".join(g) for g in _packed(_SENTENCE.split(paragraph), most)]
-    return [c for c in out if len(c.split()) >= least]
-
-
 def author_text(author: ET.Element) -> str:
     person = author.find(f"{_T}persName")
     places = []
@@ -131,7 +101,7 @@ def _division(div: ET.Element, above: str, opt: TeiOptions) -> Iterator[tuple[st
     if re.sub(r"^[\d.]+\s*", "", heading).strip().lower() in opt.skip:
         return
     own = [t for t in map(text_of, div.findall(f"{_T}p")) if t]
-    for i, chunk in enumerate(pack(own, opt.max_words, opt.min_words)):
+    for i, chunk in enumerate(packed_paragraphs(own, opt.max_words, opt.min_words)):
         yield heading, i, chunk
     for inner in div.findall(f"{_T}div"):
         yield from _division(inner, heading, opt)
@@ -143,7 +113,7 @@ def chunks_of(xml: str, opt: TeiOptions = TeiOptions()) -> list[tuple[str, int,
     out: list[tuple[str, int, str]] = []
 
     def listed(section: str, lines: list[str], least: int) -> None:
-        out.extend((section, i, c) for i, c in enumerate(pack([x for x in lines if x], opt.max_words, least)))
+        out.extend((section, i, c) for i, c in enumerate(packed_paragraphs([x for x in lines if x], opt.max_words, least)))
 
     if opt.authors:
         described = f".//{_T}sourceDesc/{_T}biblStruct/{_T}"

@@ -135,18 +135,29 @@ def sentence_pack(read, spark):
     return read("documents").select("doc_id", F.posexplode(chunking.pack_sentences(F.col("text"), 60)).alias("pos", "chunk"))
 
 
+_LINES = f"""
+lines AS (SELECT doc_id, CAST(generate_subscripts(s, 1) AS INT) AS i, unnest(s) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+weighed AS (SELECT doc_id, i, p, {_WORDS.format(x="p")} AS w FROM lines),
+parts AS (
+  SELECT doc_id, i, 1 AS j, p, w > 80 AS long FROM weighed WHERE w <= 80
+  UNION ALL
+  SELECT doc_id, i, generate_subscripts(s, 1) AS j, unnest(s) AS p, true FROM (SELECT doc_id, i, {_SENTENCES.replace("text", "p")} AS s FROM weighed WHERE w > 80)),
+sized AS MATERIALIZED (
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS INT) AS i, CASE WHEN long THEN i ELSE 0 END AS run, p, {_WORDS.format(x="p")} AS w FROM parts)"""
+
+
 @query(f"""
-WITH RECURSIVE parts AS (SELECT doc_id, CAST(generate_subscripts(s, 1) AS INT) AS i, unnest(s) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
-sized AS MATERIALIZED (SELECT doc_id, i, p, {_WORDS.format(x="p")} AS w FROM parts),
+WITH RECURSIVE {_LINES},
 walk AS (
-  SELECT doc_id, i, w AS n, 0 AS c FROM sized WHERE i = 1
+  SELECT doc_id, i, run, w AS n, 0 AS c FROM sized WHERE i = 1
   UNION ALL
-  SELECT k.doc_id, s.i, CASE WHEN k.n + s.w > 6000 THEN s.w ELSE k.n + s.w END, CASE WHEN k.n + s.w > 6000 THEN k.c + 1 ELSE k.c END FROM walk k JOIN sized s ON s.doc_id = k.doc_id AND s.i = k.i + 1)
-SELECT doc_id, count(*) AS chunks, CAST(sum(w) AS BIGINT) AS words FROM (SELECT k.doc_id, k.c, sum(s.w) AS w FROM walk k JOIN sized s ON s.doc_id = k.doc_id AND s.i = k.i GROUP BY k.doc_id, k.c) WHERE w >= 10 GROUP BY doc_id
+  SELECT k.doc_id, s.i, s.run, CASE WHEN s.run <> k.run OR k.n + s.w > 80 THEN s.w ELSE k.n + s.w END, CASE WHEN s.run <> k.run OR k.n + s.w > 80 THEN k.c + 1 ELSE k.c END FROM walk k JOIN sized s ON s.doc_id = k.doc_id AND s.i = k.i + 1),
+packed AS (SELECT k.doc_id, k.c, string_agg(s.p, ' ' ORDER BY s.i) AS chunk, sum(s.w) AS w FROM walk k JOIN sized s ON s.doc_id = k.doc_id AND s.i = k.i GROUP BY k.doc_id, k.c)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY c) - 1 AS INT) AS pos, chunk FROM packed WHERE w >= 10
 """)
 def paragraph_pack(read, spark):
-    packed = read("documents").select("doc_id", F.explode(chunking.pack_paragraphs(F.split("text", "\n"), 6000, 10)).alias("chunk"))
-    return packed.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(t.word_count(F.col("chunk"))).alias("words"))
+    """Lines of more than 80 words are packed by sentences, between runs of the others."""
+    return read("documents").select("doc_id", F.posexplode(chunking.pack_paragraphs(F.split("text", "\n"), 80, 10)).alias("pos", "chunk"))
 
 
 @query()
@@ -160,11 +171,14 @@ def chunk_ids(read, spark):
     return cut.select(F.concat_ws("_", "doc_id", F.lit(0), "pos").alias("chunk_id"), t.token_estimate(F.col("chunk")).alias("token_count"), t.content_hash(F.col("chunk")).alias("content_hash"))
 
 
-@query(_PACK + """SELECT lang, count(DISTINCT doc_id) AS docs, count(*) AS chunks, CAST(floor(sum(length(chunk) // 4) / count(*)) AS BIGINT) AS avg_tokens
-FROM packed JOIN documents USING (doc_id) WHERE length(chunk) >= 100 AND length(text) >= 100 GROUP BY lang""")
+_CLEANED = f"cleaned AS MATERIALIZED (SELECT doc_id, lang, text FROM (SELECT doc_id, lang, {_DUCK_LINES.format(x="regexp_replace(text, '[ ' || chr(9) || ']{2,}', ' ', 'g')")} AS text FROM documents) WHERE length(text) >= 100)"
+
+
+@query(_PACK.replace("FROM documents", "FROM cleaned").replace("WITH RECURSIVE", f"WITH RECURSIVE {_CLEANED},") + """SELECT lang, count(DISTINCT doc_id) AS docs, count(*) AS chunks, CAST(floor(sum(length(chunk) // 4) / count(*)) AS BIGINT) AS avg_tokens
+FROM packed JOIN cleaned USING (doc_id) WHERE length(chunk) >= 100 GROUP BY lang""")
 def chunk_stats_by_lang(read, spark):
     """Clean, keep texts of some length, pack sentences, count: the slice from end to end."""
-    cleaned = read("documents").select("doc_id", "lang", "text").where(F.length(t.clean(F.col("text"), normalise=False)) >= t.MIN_CHARS)
+    cleaned = read("documents").select("doc_id", "lang", t.clean(F.col("text"), normalise=False).alias("text")).where(F.length("text") >= t.MIN_CHARS)
     cut = cleaned.select("doc_id", "lang", F.explode(chunking.pack_sentences(F.col("text"), 60)).alias("chunk")).where(F.length("chunk") >= t.MIN_CHARS)
     sized = cut.select("doc_id", "lang", t.token_estimate(F.col("chunk")).alias("token_count"))
     by_doc = sized.groupBy("lang", "doc_id").agg(F.count("*").alias("n"), F.sum("token_count").alias("tokens"))
