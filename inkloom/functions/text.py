@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 #: Inside of a regex class: what Python's str.split and \s take for white space.
 WS = r"\t\n\x0B\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _S = f"[{WS}]"
+#: Inside of a class: all other characters, the commonest first, so that most are told at once.
+NOT_WS = r"!-\x84\x86-\x9f\xa1-\u167f\u1681-\u1fff\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u2fff\u3001-\x{10ffff}\x00-\x08\x0e-\x1b"
 _LINE_END = r"[\n\r\x0B\f\x1c-\x1e\x85\u2028\u2029]"
 _IN_LINE = r"[\t\x1f \xa0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 #: The same characters one by one.
@@ -29,8 +32,24 @@ MIN_CHARS = 100
 CHARS_PER_TOKEN = 4
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def drop(text: Column, pattern: str) -> Column:
-    return F.regexp_replace(text, pattern, "")
+    if pattern not in _NEEDS:
+        return F.regexp_replace(text, pattern, "")
+    return _bound(text, lambda x: F.when(_NEEDS[pattern](x), F.regexp_replace(x, pattern, "")).otherwise(x))
+
+
+#: What a text must hold for a pattern to match at all; quicker to look for than the pattern.
+_NEEDS = {
+    ARXIV_HEADER: lambda text: F.contains(text, F.lit("[")) & F.contains(text, F.lit(":")),
+    CITATION: lambda text: F.contains(text, F.lit("[")) | F.contains(text, F.lit("(")),
+    CAPTION: lambda text: F.regexp_like(text, F.lit(r"(?U)[.:](?<=\d[.:])")),
+    LATEX: lambda text: F.contains(text, F.lit("\\")),
+}
 
 
 def strip(text: Column) -> Column:
@@ -43,11 +62,11 @@ def squeeze(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, rf"{_S}+"), lambda w: w != "")
+    return F.regexp_extract_all(text, F.lit(rf"[{NOT_WS}]+"), F.lit(0))
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(rf"[^{WS}]+"))
+    return F.regexp_count(text, F.lit(rf"[{NOT_WS}]+"))
 
 
 def nfkc(text: Column) -> Column:
@@ -55,13 +74,13 @@ def nfkc(text: Column) -> Column:
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+        return texts.map(lambda t: t if t is None or unicodedata.is_normalized("NFKC", t) else unicodedata.normalize("NFKC", t))
 
     return F.coalesce(run(F.when(F.octet_length(text) != F.length(text), text)), text)
 
 
 def join_hyphens(text: Column) -> Column:
-    return F.regexp_replace(text, HYPHEN_BREAK, "$1$2")
+    return _bound(text, lambda x: F.when(F.contains(x, F.lit("-\n")), F.regexp_replace(x, HYPHEN_BREAK, "$1$2")).otherwise(x))
 
 
 def _before(text: Column, pattern: str) -> Column:
@@ -81,8 +100,15 @@ def squeeze_blanks(text: Column) -> Column:
 
 
 def tidy_lines(text: Column) -> Column:
-    """Lines without white space at their ends; empty ones go: any white space with a line end in it becomes one line end."""
-    return strip(F.regexp_replace(text, rf"{_IN_LINE}*{_LINE_END}{_S}*", "\n"))
+    """Lines without white space at their ends; empty ones go."""
+
+    def tidied(x: Column) -> Column:
+        plain = F.array_join(F.filter(F.transform(F.split(x, "\n"), strip), lambda line: line != ""), "\n")
+        # white space with any kind of line end in it becomes one line feed
+        other = strip(F.regexp_replace(x, rf"{_IN_LINE}*{_LINE_END}{_S}*", "\n"))
+        return F.when(F.regexp_like(x, F.lit(rf"(?=[^ -~\n]){_LINE_END}")), other).otherwise(plain)
+
+    return _bound(text, tidied)
 
 
 def clean(text: Column, normalise: bool = True) -> Column:
