@@ -3,19 +3,21 @@
 1. Sampling.  Of the GRAM-byte strings in a window of `length` bytes, the one with
    the least hash is the window's anchor; equal windows have equal anchors.  The
    windows of one anchor, a run of adjacent starts, form a block; its context is
-   every byte they cover.  Blocks with equal contexts repeat as a whole: all but
-   the earliest are removed (first among the rows a task has, so that a common
-   passage costs one record a task, then over all).
+   every byte they cover.  Before anything is sorted, copies of a context are put
+   together, first among the rows a task has, then over all, so that a common
+   passage costs one record a task: the earliest stands for them and the others,
+   which repeat as a whole, are removed.  Copies are told by 128 bits of hash.
 2. Blocks whose anchor occurs in other contexts too may share some windows with
-   them.  Only their contexts, once for each distinct one, go to shards; a shard is
-   a set of anchors.  Induced sorting gives a shard's suffixes in order with
-   their common prefixes; runs with common prefixes of `length` or more are
-   equal windows, of which all but the earliest are removed.  An anchor with
-   more than HOT_CONTEXTS contexts is cut by window fingerprints instead, so
-   no shard has to hold it.
+   them.  Their contexts go to shards, sets of anchors; the windows of an anchor
+   with more than SPLIT_CONTEXTS contexts are dealt out one by one, by a hash of their
+   bytes, so no shard has to hold it.  External induced sorting gives a
+   shard's suffixes in order with their common prefixes; runs with common prefixes of
+   `length` or more are equal windows, of which all but the earliest are removed.
+   So hashes only say where windows meet, the sort says whether they are equal.
 3. The removed ranges meet the texts again, and each text is cut.
 
 Between tasks go packed arrays, a few rows for each task and bucket, not a row for each string.
+The number of buckets follows the bytes of the corpus, so that what a task holds does not.
 """
 
 from __future__ import annotations
@@ -32,15 +34,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkloom.llm.common import U64, buffers, cut, mix, random_words, released
-from inkloom.llm.induced_sort import CAP, suffix_array
+from inkloom.llm.induced_sort import CAP, suffix_blocks
 
 GRAM = 24
 #: Bytes of text that a task samples at once, and whose blocks it compares before they go out.
 SAMPLE = 1 << 20
 SLAB = 6 << 20
-#: Bytes of contexts that one suffix sort takes.
-SHARD = 3 << 19
-HOT_CONTEXTS = 1 << 16
+#: Bytes of contexts that one suffix sort takes; its queues hold far less and go to disk.
+SHARD = 3 << 20
+#: Contexts of an anchor that go to one shard.
+SPLIT_CONTEXTS = 1 << 16
+#: Bytes of the corpus for each bucket, and the bits that tell places in a slab.
+BUCKET_BYTES = 16 << 20
+PLACE_BITS = 31
 #: Stands for a null id; null ids come first.
 NULL_ID = -(1 << 63)
 _VALUE = random_words(41, 256)
@@ -186,13 +192,13 @@ def _sampled(length: int, buckets: int):
         tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], dtype=np.int64)
         parts = _doubles(data)
         gram = _joined(parts, slice(None), gram_pieces, n)
-        bits = max(int(n).bit_length(), 1)
-        best = _window_min((gram >> U64(bits) << U64(bits)) | np.arange(n, dtype=np.uint64), w)
+        # the same bits of the hash decide in every slab, so equal windows have equal anchors wherever they are
+        best = _window_min((gram >> U64(PLACE_BITS) << U64(PLACE_BITS)) | np.arange(n, dtype=np.uint64), w)
         # starts of windows, document by document
         count = np.maximum(sizes - length + 1, 0)
         total = int(count.sum())
         start = np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(offsets[:-1], count)
-        anchor = (best[start] & U64((1 << bits) - 1)).astype(np.int64)
+        anchor = (best[start] & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
         row = np.repeat(np.arange(len(doc)), count)
         head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]))
         lo, hi, q, row = start[head], start[np.append(head[1:], total) - 1], anchor[head], row[head]
@@ -243,7 +249,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[
         yield (*now, held)
 
 
-def _resolved(length: int, buckets: int, hot: int):
+def _resolved(length: int, buckets: int, split: int):
     """Of the blocks of a bucket: marks for contexts that an earlier block has, and wanted texts of anchors with several contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +269,7 @@ def _resolved(length: int, buckets: int, hot: int):
             pick = np.flatnonzero(contexts > 1)
             pick = pick[np.lexsort((lo[pick], tag[pick], doc[pick]))]
             if len(pick):
-                cols = [core[pick], doc[pick], tag[pick], lo[pick], span[pick], (contexts[pick] > hot).astype(np.int32)]
+                cols = [core[pick], doc[pick], tag[pick], lo[pick], span[pick], (contexts[pick] > split).astype(np.int32)]
                 out += [(WANTED, b, x) for b, x in _by_bucket(cols[1] % buckets, cols)]
             for at in range(0, len(out), 64):
                 yield _batch(out[at : at + 64])
@@ -272,7 +278,7 @@ def _resolved(length: int, buckets: int, hot: int):
 
 
 def _cut_contexts(length: int, buckets: int):
-    """Wanted contexts out of the texts of a bucket, for the shards; fingerprints of single windows where an anchor is hot."""
+    """Wanted contexts out of the texts of a bucket, for the shards; single windows where an anchor is split."""
     pieces = _pieces(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,25 +313,25 @@ def _cut_contexts(length: int, buckets: int):
                 if now != bucket or wanted is None:
                     continue
                 if isinstance(wanted, list):
-                    core, own, tag, lo, span, hot = _merged(wanted)
+                    core, own, tag, lo, span, split = _merged(wanted)
                     order = np.argsort(own, kind="stable")
-                    wanted = core[order], own[order], tag[order], lo[order], span[order], hot[order]
-                core, own, tag, lo, span, hot = wanted
+                    wanted = core[order], own[order], tag[order], lo[order], span[order], split[order]
+                core, own, tag, lo, span, split = wanted
                 a, b = np.searchsorted(own, doc.as_py(), "left"), np.searchsorted(own, doc.as_py(), "right")
                 if a == b:
                     continue
                 raw = text.as_py()
                 at = a + np.flatnonzero(tag[a:b] == zlib.crc32(raw))
-                cold, warm = at[hot[at] == 0], at[hot[at] == 1]
-                if len(cold):
-                    held.append((core[cold], own[cold], tag[cold], lo[cold], span[cold], [raw[x : x + s + length] for x, s in zip(lo[cold].tolist(), span[cold].tolist(), strict=True)]))
-                    size += int(span[cold].sum()) + length * len(cold)
-                for i in warm.tolist():
+                whole, single = at[split[at] == 0], at[split[at] == 1]
+                if len(whole):
+                    held.append((core[whole], own[whole], tag[whole], lo[whole], span[whole], [raw[x : x + s + length] for x, s in zip(lo[whole].tolist(), span[whole].tolist(), strict=True)]))
+                    size += int(span[whole].sum()) + length * len(whole)
+                for i in single.tolist():
                     part = np.frombuffer(raw, dtype=np.uint8)[lo[i] : lo[i] + span[i] + length]
                     starts = np.arange(span[i] + 1)
                     print_ = _joined(_doubles(part), starts, pieces, len(part))
                     k = len(starts)
-                    # the key of a window is its own fingerprint, so equal windows meet and no others
+                    # the key of a window is its own hash, so equal windows meet
                     held.append((print_, np.full(k, own[i]), np.full(k, tag[i]), lo[i] + starts, np.zeros(k, dtype=np.int32), [raw[x : x + length] for x in (lo[i] + starts).tolist()]))
                     size += length * k
                 if size >= SLAB:
@@ -336,26 +342,30 @@ def _cut_contexts(length: int, buckets: int):
     return lambda batches: released(run(batches))
 
 
-def _sorted(length: int, buckets: int, base: int, memory: int):
+def _sorted(length: int, buckets: int, base: int | None, memory: int | None):
     """Marks for windows that an earlier context of the same shard has."""
 
     def marks(parts: list[np.ndarray], text: np.ndarray) -> list[tuple[int, int, bytes]]:
         _, doc, tag, lo, span = parts
         ends = np.cumsum(span.astype(np.int64) + length)
-        order, common = suffix_array(text, ends, base, memory)
-        owner = np.searchsorted(ends, order, "right")
-        within = order - (ends[owner] - span[owner] - length)
-        whole = within <= span[owner]
-        equal = common >= length  # with the suffix before; what is too short for a window never is
-        equal[0] = False
-        group = np.cumsum(~equal)
-        some = np.flatnonzero(whole & (equal | np.append(equal[1:], False)))
-        if not len(some):
+        begins = ends - span - length
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for order, common in suffix_blocks(text, ends, base, memory):
+            equal = common >= length  # with the suffix before; what is too short for a window never is
+            equal[0] = False
+            some = np.flatnonzero(equal | np.append(equal[1:], False))
+            owner = np.searchsorted(ends, order[some], "right")
+            within = order[some] - begins[owner]
+            group = np.cumsum(~equal)[some]
+            keep = within <= span[owner]  # starts that are windows of the block itself
+            owner, group = owner[keep], group[keep]
+            start = lo[owner] + within[keep]
+            rank = np.lexsort((start, tag[owner], doc[owner], group))
+            later = rank[1:][group[rank][1:] == group[rank][:-1]]
+            found.append((owner[later], start[later]))
+        if not any(len(o) for o, _ in found):
             return []
-        group, owner, start = group[some], owner[some], lo[owner[some]] + within[some]
-        rank = np.lexsort((start, tag[owner], doc[owner], group))
-        later = rank[np.append(False, group[rank][1:] == group[rank][:-1])]
-        owner, start = owner[later], start[later]
+        owner, start = (np.concatenate(c) for c in zip(*found, strict=True))
         # adjacent windows of a row make one range
         by = np.lexsort((start, tag[owner], doc[owner]))
         owner, start = owner[by], start[by]
@@ -405,17 +415,17 @@ def _spans(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(new[1:], len(lo)) - 1]
 
 
-def _joined_with_texts(rows: DataFrame, docs: DataFrame, buckets: int, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
+def _joined_with_texts(rows: DataFrame, docs: DataFrame, buckets: int, parts: int, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
     """Packed rows and texts of a bucket in one partition, the packed rows first."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     other = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("struct<_:int>")
     texts = docs.select(F.lit(TEXT).alias("kind"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("payload"), key.alias("doc"), raw.alias("raw"), other.alias("rest"))
     marks = rows.select("kind", "bucket", "payload", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("binary").alias("raw"), F.lit(None).cast(texts.schema["rest"].dataType).alias("rest"))
-    return marks.unionByName(texts).repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind")
+    return marks.unionByName(texts).repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind")
 
 
-def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, hot_contexts: int = HOT_CONTEXTS, base: int = 1 << 22, memory: int = 96 << 20) -> DataFrame:
+def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, split_contexts: int = SPLIT_CONTEXTS, base: int | None = None, memory: int | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of each row; with `carry` also the ranges, what is kept as text, by whole characters, and a struct `rest` of the other columns.
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a
@@ -428,17 +438,20 @@ def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_
     if length > CAP or length < GRAM + 8:
         raise ValueError(f"length must lie between {GRAM + 8} and {CAP}")
     spark = docs.sparkSession
-    buckets = _prime(4 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    buckets = _prime(max(4 * partitions + 1, size // BUCKET_BYTES))
+    parts = max(partitions, buckets // 4)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     texts = docs.select(key.alias("doc"), F.col(text_col).cast("string").alias("text"))
     blocks = texts.mapInArrow(_sampled(length, buckets), _ROWS)
-    found = cut(blocks.repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_resolved(length, buckets, hot_contexts), _ROWS))
-    wanted = _joined_with_texts(found.where(f"kind = {WANTED}"), docs, buckets, id_col, text_col, [])
+    found = cut(blocks.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_resolved(length, buckets, split_contexts), _ROWS))
+    wanted = _joined_with_texts(found.where(f"kind = {WANTED}"), docs, buckets, parts, id_col, text_col, [])
     contexts = wanted.select("kind", "bucket", "payload", "doc", "raw").mapInArrow(_cut_contexts(length, buckets), _ROWS)
-    shards = contexts.repartition(F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_sorted(length, buckets, base, memory), _ROWS)
+    shards = contexts.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_sorted(length, buckets, base, memory), _ROWS)
     marks = cut(found.where(f"kind = {MARKS}").unionByName(shards))
     rest = [c for c in docs.columns if c not in (id_col, text_col)] if carry else []
-    met = _joined_with_texts(marks, docs, buckets, id_col, text_col, rest)
+    met = _joined_with_texts(marks, docs, buckets, parts, id_col, text_col, rest)
     kind = docs.schema[id_col].dataType.simpleString()
     fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema = T._parse_datatype_string(fields)

@@ -34,6 +34,47 @@ def test_order_and_common_prefixes(base, memory):
             assert suffix[x] <= suffix[y] and common(suffix[x], suffix[y]) == n
 
 
+@pytest.mark.parametrize(("symbols", "most"), [(1, 8), (1, 3), (0, 1), (1 << 10, 1 << 16)])
+def test_ranges_of_symbols(monkeypatch, symbols, most):
+    """The queue by ranges of symbols gives what the queue by symbols does, from runs and periodic texts too."""
+    monkeypatch.setattr(induced_sort, "SYMBOLS", symbols)
+    monkeypatch.setattr(induced_sort, "RANGE", most)
+    rng = random.Random(most)
+    texts = [b"x" * 500, b"ab" * 300, b"abc" * 100 + b"ab" * 90, bytes(rng.choice(b"ab") for _ in range(900)), bytes(rng.randrange(256) for _ in range(900))]
+    for text in texts:
+        order, _ = induced_sort.suffix_array(np.frombuffer(text, dtype=np.uint8), np.array([len(text)]), 0, 64)
+        assert [text[i:] for i in order] == sorted(text[i:] for i in range(len(text)))
+
+
+def test_types_over_steps(monkeypatch):
+    rng = random.Random(5)
+    for step in (1, 2, 7, 1 << 18):
+        monkeypatch.setattr(induced_sort._Text, "STEP", step)
+        s = np.array([rng.choice([0, 1, 1, 1, 2]) for _ in range(200)] + [0], dtype=np.uint16)
+        want = [True] * 201
+        for i in range(199, -1, -1):
+            want[i] = True if s[i] == 0 else s[i] < s[i + 1] or (s[i] == s[i + 1] and want[i + 1])
+        assert induced_sort._Text(s).small.tolist() == want
+
+
+def test_queues_go_to_disk_and_names_recur_in_production():
+    """A shard of SHARD bytes with the parameters of the query: spilled queues, several recursions, right marks."""
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) for _ in range(3000)]
+    passages = [b" ".join(words[i] for i in rng.integers(0, 3000, 30))[:138] for _ in range(4000)]
+    picks = rng.integers(0, len(passages), suffix_dedup.SHARD // 138)
+    text = np.frombuffer(b"".join(passages[i].ljust(138, b"-") for i in picks), dtype=np.uint8)
+    ends = np.arange(138, len(text) + 1, 138)
+    induced_sort.COUNTS.clear()
+    n = repeats = 0
+    for order, common in induced_sort.suffix_blocks(text, ends):
+        n += len(order)
+        repeats += int((common >= 100).sum())
+        assert len(order) < len(text) // 3  # a symbol at a time
+    assert n == len(text) and repeats == 39 * (len(picks) - len({passages[i].ljust(138, b"-") for i in picks}))
+    assert induced_sort.COUNTS["spills"] > 5 and induced_sort.COUNTS["recursions"] > 1
+
+
 def brute(rows, length):
     """Rows in order of id and checksum; equal rows once."""
     key = lambda r: (-(1 << 63) if r[0] is None else r[0], zlib.crc32((r[1] or "").encode()))
@@ -53,13 +94,14 @@ def brute(rows, length):
     return sorted(map(str, (out[i, t or ""] for i, t in rows)))
 
 
-@pytest.mark.parametrize(("hot", "slab", "shard", "base"), [(1 << 16, None, None, 1 << 22), (1, None, None, 1 << 22), (1 << 16, 700, 300, 16), (2, 700, 300, 1 << 22)])
-def test_against_brute_force(spark, odd_docs, monkeypatch, hot, slab, shard, base):
+@pytest.mark.parametrize(("split", "slab", "shard", "base"), [(1 << 16, None, None, None), (1, None, None, None), (1 << 16, 700, 300, 16), (2, 700, 300, 1 << 22)])
+def test_against_brute_force(spark, odd_docs, monkeypatch, split, slab, shard, base):
     if slab:
         monkeypatch.setattr(suffix_dedup, "SLAB", slab)
         monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+        monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
-    found = sorted(str(tuple(r)) for r in suffix_dedup.removed(odd_docs, 100, hot_contexts=hot, base=base).collect())
+    found = sorted(str(tuple(r)) for r in suffix_dedup.removed(odd_docs, 100, split_contexts=split, base=base).collect())
     assert found == brute(rows, 100)
 
 
