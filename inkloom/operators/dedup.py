@@ -54,6 +54,6 @@ def insert_new(batch: DataFrame, stored: DataFrame, key: str = "chunk_id") -> Da
 
 
 def upsert(stored: DataFrame, batch: DataFrame, key: str, version: str) -> DataFrame:
-    """Stored rows with those of the batch in their place; the greatest version of a key wins, of equals the batch's."""
+    """Stored rows with those of the batch in their place, whatever their versions; of several rows of a key in the batch the greatest version wins."""
     both = stored.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
     return both.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_new"), F.desc(version)))).where("_k = 1").drop("_k", "_new")

@@ -29,11 +29,15 @@ def expire(messages: DataFrame, now: Column, ttl: dict[str, int] = QUEUE_TTL) ->
 
 
 def drain(messages: DataFrame, limit: int = DRAIN_LIMIT) -> DataFrame:
-    """Messages with the first `limit` of each queue of dead letters put back and marked `requeued`."""
-    dead = F.col("queue").startswith("dlx.")
-    first = Window.partitionBy("queue").orderBy("pos")
-    back = messages.withColumn("requeued", dead & (F.row_number().over(first) <= limit))
-    return back.withColumn("queue", F.when(F.col("requeued"), F.substring("queue", F.lit(5), F.length("queue"))).otherwise(F.col("queue")))
+    """Messages with the first `limit` of each queue of dead letters put back and marked `requeued`; `pos` tells the messages of a queue apart.
+
+    Only the first of each queue are ranked, within the tasks before they meet;
+    the last of them, one row a queue, marks the others.
+    """
+    dead = messages.where(F.col("queue").startswith("dlx."))
+    first = dead.select("queue", "pos", F.row_number().over(Window.partitionBy("queue").orderBy("pos")).alias("_k")).where(F.col("_k") <= limit)
+    marked = messages.join(first.groupBy("queue").agg(F.max("pos").alias("_last")), "queue", "left").withColumn("requeued", F.coalesce(F.col("pos") <= F.col("_last"), F.lit(False))).drop("_last")
+    return marked.withColumn("queue", F.when(F.col("requeued"), F.substring("queue", F.lit(5), F.length("queue"))).otherwise(F.col("queue"))).select(*messages.columns, "requeued")
 
 
 def drain_summary(before: DataFrame, limit: int = DRAIN_LIMIT) -> DataFrame:

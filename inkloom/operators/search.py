@@ -24,22 +24,25 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id",
 
     The queries are a stated set.  They are taken in blocks of proven size; a task
     multiplies its vectors with a block and keeps its own best k of each query, so
-    only k rows a query and task are shuffled.  Null or zero vectors take no part.
+    only k rows a query and task are shuffled.  The driver holds one block: the hits
+    of a block that others follow are checkpointed before the next is fetched.
+    Null or zero vectors take no part.
     """
+    out, best = None, Window.partitionBy("query_id").orderBy(F.desc("cosine"), id_col)
     ids, vs = [], []
-    out = None
+
+    def hits() -> DataFrame:
+        found = _block(vectors, ids, vs, k, id_col, vector, exclude_self)
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
     for row in queries.select(id_col, vector).where(F.col(vector).isNotNull()).toLocalIterator():
-        ids.append(row[0])
-        vs.append(row[1])
-        if len(ids) * len(vs[0]) * 8 >= most:
-            part = _block(vectors, ids, vs, k, id_col, vector, exclude_self)
+        if ids and len(ids) * len(vs[0]) * 8 >= most:
+            part = hits().checkpoint(eager=True)
             out = part if out is None else out.unionByName(part)
             ids, vs = [], []
-    if ids or out is None:
-        part = _block(vectors, ids, vs, k, id_col, vector, exclude_self)
-        out = part if out is None else out.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("cosine"), id_col)
-    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        ids.append(row[0])
+        vs.append(row[1])
+    return hits() if out is None else out.unionByName(hits())
 
 
 def _block(vectors: DataFrame, ids: list, vs: list, k: int, id_col: str, vector: str, exclude_self: bool) -> DataFrame:

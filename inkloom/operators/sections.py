@@ -12,10 +12,17 @@ HEADING_RATIO, HEADING_CHARS, DEFAULT_SIZE, FIRST_TITLE = 1.2, 120, 12.0, "Intro
 
 
 def upper_median(rows: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
-    """(key, median): the upper of the two middle values, as it occurs."""
+    """(key, median): the upper of the two middle values, as it occurs.
+
+    Equal values are counted before they meet, so a key of very many rows sends its
+    distinct values only.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
     at = Window.partitionBy(key)
-    ranked = rows.where(F.col(value).isNotNull()).select(key, value, F.row_number().over(at.orderBy(value)).alias("_k"), F.count("*").over(at).alias("_n"))
-    return ranked.where("_k = _n div 2 + 1").select(key, F.col(value).alias(out))
+    upto = F.sum("_n").over(at.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.select(key, value, upto.alias("_upto"), "_n", F.sum("_n").over(at).alias("_all"))
+    middle = F.expr("_all div 2 + 1")
+    return ranked.where((F.col("_upto") >= middle) & (F.col("_upto") - F.col("_n") < middle)).select(key, F.col(value).alias(out))
 
 
 def segment(spans: DataFrame, key: str = "doc_id", order: str = "span_idx") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkloom.functions import text as t
 from inkloom.functions import vectors as v
-from inkloom.operators import dedup, lifecycle
+from inkloom.operators import dedup, layout, lifecycle
 from inkloom.plans.registry import query
 
 
@@ -116,9 +116,10 @@ def task_routes(read, spark):
 @query("""WITH g AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS g FROM conversations)
 SELECT conv_id, CAST(g AS INT) AS group_order, coalesce(max(CASE WHEN role = 'user' THEN text END), 'Untitled') AS title, CAST(count_if(role <> 'user') AS BIGINT) AS paragraphs FROM g GROUP BY conv_id, g""")
 def running_group_by_title(read, spark):
-    line = Window.partitionBy("conv_id").orderBy("turn")
-    grouped = read("conversations").withColumn("group_order", F.sum((F.col("role") == "user").cast("int")).over(line).cast("int"))
-    return grouped.groupBy("conv_id", "group_order").agg(F.coalesce(F.max(F.when(F.col("role") == "user", F.col("text"))), F.lit("Untitled")).alias("title"), F.count_if(F.col("role") != "user").alias("paragraphs"))
+    """Turns of users as titles, the others as paragraphs, through the operator for layout items."""
+    content = F.when(F.col("role") == "user", F.to_json(F.struct(F.array(F.struct(F.lit("text").alias("type"), F.col("text").alias("content"))).alias("title_content")))).otherwise(F.col("text"))
+    items = read("conversations").select("conv_id", F.col("turn").alias("pos"), F.when(F.col("role") == "user", "title").otherwise("paragraph").alias("type"), content.alias("content"))
+    return layout.group_by_title(items, "conv_id").select("conv_id", "group_order", "title", F.size("paragraphs").cast("long").alias("paragraphs"))
 
 
 @query("SELECT doc_id, doc_id || '.12345' AS stripped, doc_id || '.12345v2' AS entry, doc_id || '.12345' AS canonical FROM documents")

@@ -26,4 +26,4 @@ def query(oracle: str | None = None):
     return add
 
 
-from inkloom.plans import documents, ingestion, relations, vectors  # noqa: E402, F401
+from inkloom.plans import documents, fulltext, ingestion, relations, vectors  # noqa: E402, F401

@@ -111,11 +111,23 @@ def iou_pairs_all(read, spark):
     return _iou_pairs(_boxes(read))
 
 
-@query()
+_ALL = "b AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_quantity AS x, l_linenumber * 10.0 AS y FROM lineitem)"
+
+
+@query(f"""WITH RECURSIVE {_ALL},
+pairs AS (SELECT a.k, a.n AS ai, c.n AS ri, max(CAST({_IOU} AS DOUBLE)) AS score FROM b a JOIN b c ON a.k = c.k GROUP BY a.k, a.n, c.n),
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, ai, ri) AS i FROM pairs WHERE score > 0),
+walk AS (
+  SELECT k, i, ai, ri, score, true AS hit, [ai] AS l, [ri] AS r FROM ranked WHERE i = 1
+  UNION ALL
+  SELECT p.k, p.i, p.ai, p.ri, p.score, NOT (list_contains(w.l, p.ai) OR list_contains(w.r, p.ri)),
+    CASE WHEN list_contains(w.l, p.ai) OR list_contains(w.r, p.ri) THEN w.l ELSE list_append(w.l, p.ai) END, CASE WHEN list_contains(w.l, p.ai) OR list_contains(w.r, p.ri) THEN w.r ELSE list_append(w.r, p.ri) END
+  FROM walk w JOIN ranked p ON p.k = w.k AND p.i = w.i + 1)
+SELECT k AS doc_id, ai, ri, round(score, 6) AS score FROM walk WHERE hit""")
 def greedy_match(read, spark):
     x, y = _boxes(read).alias("x"), _boxes(read).alias("y")
     pairs = x.join(y, F.col("x.l_orderkey") == F.col("y.l_orderkey")).select(F.col("x.l_orderkey").alias("doc_id"), F.col("x.l_linenumber").alias("ai"), F.col("y.l_linenumber").alias("ri"), v.iou(F.col("x.a"), F.col("y.b")).alias("score"))
-    return fusion.greedy(pairs.groupBy("doc_id", "ai", "ri").agg(F.max("score").alias("score")))
+    return fusion.greedy(pairs.groupBy("doc_id", "ai", "ri").agg(F.max("score").alias("score"))).withColumn("score", F.round("score", 6))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, CAST(round(841.89 - (l_linenumber * 10.0 + 12), 6) AS DOUBLE) AS y1, l_quantity + 20 AS x2, CAST(round(841.89 - l_linenumber * 10.0, 6) AS DOUBLE) AS y2 FROM lineitem WHERE l_orderkey % 4 = 0")
