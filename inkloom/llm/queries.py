@@ -23,8 +23,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return licences.scan(docs, licences.fit(docs)).drop("paragraphs")
+    return licences.scan(table(spark, sf_dir, "documents")).drop("paragraphs")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

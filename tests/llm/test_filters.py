@@ -150,18 +150,87 @@ def test_overlaps_against_brute_force(spark, monkeypatch, bits, coverage):
     assert decontaminate.overlaps(df.union(df), bench.union(bench), coverage).count() == 4 * len(want)
 
 
-def test_licences(spark, odd_docs, no_docs):
-    scanner = licences.fit(odd_docs)
-    lines = {
-        "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0", "GPL": "It is licensed under the GNU General Public License, version 3, as stated.",
-        "CC-BY-NC": "Licensed under CC BY-NC 4.0.", "unknown": "Distributed under the terms of the accompanying license.", "none": "The model was trained on this data in the second year.",
-    }
+#: Lines that are in no notice or frame of the training, and what they are.
+SEEN_IN_FILES = [
+    ("Mozilla Public License Version 2.0", "MPL-2.0"),
+    ("ISC License", "ISC"),
+    ("# Released under the terms of the MIT License", "MIT"),
+    ("This module is licensed under the Apache License, Version 2.0 by its authors.", "Apache-2.0"),
+    ("The sources are distributed under the GNU General Public License, version 3 or later.", "GPL"),
+    ("Our library may be used under the GNU Lesser General Public License, version 2.1.", "LGPL"),
+    ("Licensed under the GNU Affero General Public License, version 3 (AGPL).", "AGPL"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "BSD"),
+    ("// Use of this source code is governed by a BSD-style license", "BSD"),
+    ("The photos are licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC"),
+    ("This text is available under the Creative Commons Attribution-ShareAlike License", "CC-BY-SA"),
+    ("Copyright 1999 by the authors. All rights reserved.", "proprietary"),
+    ("This work has been released into the public domain by its author.", "public-domain"),
+    ("This project is licensed under the European Union Public Licence.", "unknown"),
+    ("Licensed under the Foo Bar Public License, version 7.", "unknown"),
+    ("Distributed under the terms of the accompanying license.", "unknown"),
+]
+ORDINARY_LINES = [
+    "The model was trained on this data in the second year.", "A licence to fish costs ten pounds.", "He came in with the Apache scouts and a copy of the map.", "MIT researchers published the work in 2003.", "The contract was free of any such terms.", "Mit und ohne Zucker.",
+    "You may use the side door.", "The software of the lift failed without warning.", "The public library is open.", "She read all the conditions and agreed.",
+]
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return licences.Scanner()
+
+
+def found_lines(scanner, text):
+    data, offsets = licences.buffers(licences.pa.array([text]))
+    _, numbers, _, _, names = scanner.lines(data, offsets)
+    return dict(zip(numbers.tolist(), names, strict=True))
+
+
+def test_licence_recall_and_false_alarms(scanner):
+    """At least nine tenths of lines the training has not seen, each alone and all in one document; no ordinary line."""
+    alone = [found_lines(scanner, line).get(0) == family for line, family in SEEN_IN_FILES]
+    assert np.mean(alone) >= 0.9, [x for x, ok in zip(SEEN_IN_FILES, alone, strict=True) if not ok]
+    assert not any(found_lines(scanner, line) for line in ORDINARY_LINES)
+    mixed = "\n\n".join(f"{plain}\n{line}" for plain, (line, _) in zip(ORDINARY_LINES, SEEN_IN_FILES, strict=False))
+    assert set(found_lines(scanner, mixed)) <= {3 * i + 1 for i in range(10)}
+
+
+def test_a_wrapped_notice_is_found_whole(scanner):
+    words = licences.NOTICES["MIT"][1].split()
+    lines = [" ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
+    text = "\n".join(["First some prose.", "", *lines, "", "The cat sat on the mat.", "And slept."])
+    assert found_lines(scanner, text) == {2 + i: "MIT" for i in range(len(lines))}
+
+
+def test_template_step_by_brute_force():
+    """Families are confirmed by the share of word pairs that both have."""
+    rng = random.Random(3)
+    scan = licences.Scanner.__new__(licences.Scanner)
+    scan.rule = licences.ByteRule(licences.PUNCTUATED)
+    for _ in range(400):
+        a, b = (" ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 8))) for _ in range(2))
+        pairs = [set(zip(x.split(), x.split()[1:], strict=False)) or {(w,) for w in x.split()} for x in (a, b)]
+        both, least = len(pairs[0] & pairs[1]), min(map(len, pairs))
+        assert scan._alike(scan._set(a), scan._set(b)) == (least > 0 and both >= 0.6 * least and both >= min(2, len(pairs[1])))
+
+
+def test_ties_between_families_and_long_lines(scanner):
+    p = np.zeros(len(scanner.classes))
+    p[[1, 2]] = 0.5  # of equally likely families the first one
+    assert scanner._judged(p, True, b"Licensed under the MIT License or the Apache License, Version 2.0")[0] in (scanner.classes[1], "unknown")
+    long = "word " * 50_000 + "Released under the MIT License. " + "word " * 50_000
+    assert found_lines(scanner, long) == {} and found_lines(scanner, long + "\nReleased under the MIT License.") == {1: "MIT"}
+
+
+def test_licences(spark, scanner, odd_docs, no_docs):
+    lines = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0", "unknown": "Distributed under the terms of the accompanying license.", "none": "The model was trained on this data in the second year."}
     docs = spark.createDataFrame([(i, f"some words first\n{t}\nand last", 0) for i, t in enumerate(lines.values())] + [(90, None, 0), (91, "", 0), (None, lines["MIT"], 0)], "doc_id long, text string, licence int")
     found = {r["doc_id"]: r for r in licences.scan(docs, scanner).collect()}
     assert [found[i]["licence"] for i in range(len(lines))] == list(lines)
     assert found[0]["paragraphs"][0]["paragraph"] == 1 and found[0]["n_paragraphs"] == 3
     assert (found[90]["n_paragraphs"], found[91]["licence"], found[None]["licence"]) == (0, "none", "MIT")
-    assert licences.scan(no_docs, licences.fit(no_docs)).count() == 0
+    assert licences.scan(no_docs, scanner).count() == 0
     plain = licences.scan(odd_docs, scanner)
     assert plain.count() == odd_docs.count() and plain.where("licence <> 'none'").count() == 0
 
