@@ -415,14 +415,14 @@ def _spans(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(new[1:], len(lo)) - 1]
 
 
-def _joined_with_texts(rows: DataFrame, docs: DataFrame, buckets: int, parts: int, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
+def _joined_with_texts(rows: DataFrame, docs: DataFrame, buckets: int, by: list, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
     """Packed rows and texts of a bucket in one partition, the packed rows first."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     other = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("struct<_:int>")
     texts = docs.select(F.lit(TEXT).alias("kind"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("payload"), key.alias("doc"), raw.alias("raw"), other.alias("rest"))
     marks = rows.select("kind", "bucket", "payload", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("binary").alias("raw"), F.lit(None).cast(texts.schema["rest"].dataType).alias("rest"))
-    return marks.unionByName(texts).repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind")
+    return marks.unionByName(texts).repartition(*by).sortWithinPartitions("bucket", "kind")
 
 
 def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, split_contexts: int = SPLIT_CONTEXTS, base: int | None = None, memory: int | None = None) -> DataFrame:
@@ -441,17 +441,18 @@ def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = _prime(max(4 * partitions + 1, size // BUCKET_BYTES))
-    parts = max(partitions, buckets // 4)
+    # the session's own number of partitions, which may be adapted at run time, as long as it is enough
+    by = [F.col("bucket")] if buckets // 4 <= partitions else [buckets // 4, F.col("bucket")]
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     texts = docs.select(key.alias("doc"), F.col(text_col).cast("string").alias("text"))
     blocks = texts.mapInArrow(_sampled(length, buckets), _ROWS)
-    found = cut(blocks.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_resolved(length, buckets, split_contexts), _ROWS))
-    wanted = _joined_with_texts(found.where(f"kind = {WANTED}"), docs, buckets, parts, id_col, text_col, [])
+    found = cut(blocks.repartition(*by).sortWithinPartitions("bucket", "kind").mapInArrow(_resolved(length, buckets, split_contexts), _ROWS))
+    wanted = _joined_with_texts(found.where(f"kind = {WANTED}"), docs, buckets, by, id_col, text_col, [])
     contexts = wanted.select("kind", "bucket", "payload", "doc", "raw").mapInArrow(_cut_contexts(length, buckets), _ROWS)
-    shards = contexts.repartition(parts, F.col("bucket")).sortWithinPartitions("bucket", "kind").mapInArrow(_sorted(length, buckets, base, memory), _ROWS)
+    shards = contexts.repartition(*by).sortWithinPartitions("bucket", "kind").mapInArrow(_sorted(length, buckets, base, memory), _ROWS)
     marks = cut(found.where(f"kind = {MARKS}").unionByName(shards))
     rest = [c for c in docs.columns if c not in (id_col, text_col)] if carry else []
-    met = _joined_with_texts(marks, docs, buckets, parts, id_col, text_col, rest)
+    met = _joined_with_texts(marks, docs, buckets, by, id_col, text_col, rest)
     kind = docs.schema[id_col].dataType.simpleString()
     fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema = T._parse_datatype_string(fields)
