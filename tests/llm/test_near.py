@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -50,6 +51,42 @@ def test_minhash_against_brute_force(spark, odd_docs, monkeypatch, words, percen
     assert found == brute_near(rows, words, percent)
 
 
+def test_collisions_by_brute_force():
+    """Merges that skip the longest lists count what comparing all coordinates counts."""
+    rng = np.random.default_rng(4)
+    for n, least in ((3, 40), (40, 83), (200, 60), (50, 1)):
+        sig = rng.integers(0, 256, (n, minhash.COORDINATES)).astype(np.uint8)
+        for i in range(1, n):  # rows that share much with the one before, and coordinates that all share
+            keep = rng.random(minhash.COORDINATES) < rng.choice([0.2, 0.5, 0.7, 1.0])
+            sig[i, keep] = sig[i - 1, keep]
+        sig[:, :30] = 7
+        lists = minhash.Collisions(sig, least)
+        for f in range(n):
+            others = np.flatnonzero(rng.random(n) < 0.7)
+            assert (lists.linked(f, others) == (np.count_nonzero(sig[others] == sig[f], axis=1) >= least)).all()
+
+
+def test_large_groups_of_copies_travel_twice(spark, monkeypatch):
+    """A group of near copies and chains around it: the links of brute force, without blocks that meet two by two."""
+    monkeypatch.setattr(minhash, "GROUP_ROWS", 20)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        t = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2]) if i < 270 else 6):
+            t[rng.randrange(120)] = f"x{rng.random()}"
+        rows.append((i, " ".join(t)))
+    rows += [(400 + i, " ".join([*base[:100], *(f"y{i}z{k}" for k in range(4 * i))])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = []
+    verified = minhash._verified
+    monkeypatch.setattr(minhash, "_verified", lambda grouped, *a: held.append(grouped.groupBy("id").count().agg({"count": "avg"}).first()[0]) or verified(grouped, *a))
+    found = sorted(str(tuple(r)) for r in minhash.near_duplicates(docs, 3, 85).collect())
+    assert found == brute_near(rows, 3, 85)
+    assert held[0] < 4  # 312 documents in blocks of 20 would send each to 15 others
+
+
 def test_minhash_without_rows(no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
