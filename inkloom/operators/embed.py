@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
+from hashlib import md5
 from typing import Protocol
 
 import numpy as np
@@ -28,19 +28,19 @@ class Embedder(Protocol):
 class HashingEmbedder:
     """A deterministic stand-in: signed hashes of all words of a text, unit length; runs anywhere.
 
-    Its name differs from that of the form that read 512 words, so that vectors of that one are stale.
+    Its name differs from those of its earlier forms, so that their vectors are stale.
     """
 
     normalized = True
 
     def __init__(self, dim: int = 64):
-        self.name, self.dim = f"hashing-whole-{dim}", dim
+        self.name, self.dim = f"hashing-md5-{dim}", dim
 
     def embed_batch(self, texts: list[str]) -> list[list[float]]:
         out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts, strict=True):
             for word, n in Counter(text.lower().split()).items():
-                h = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+                h = int.from_bytes(md5(word.encode(), usedforsecurity=False).digest()[8:], "little")
                 row[(h >> 20) % self.dim] += n if h >> 60 & 1 else -n
         return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).tolist()
 

@@ -13,80 +13,48 @@ _SENTENCES = "string_split(regexp_replace(text, '([.!?])[ \\n]+', '\\1' || chr(1
 _WORDS = "len(list_filter(regexp_split_to_array({x}, '[ \\n]+'), lambda w: w <> ''))"
 
 
-@query("SELECT doc_id, regexp_replace('See ' || source || ' [1, 2] and [3-5] (Smith et al., 2020; Doe, 1999a) end', '\\[\\d[\\d,\\s–\\-]*\\]|\\([A-Z][a-z]+(?:\\s+et\\s+al\\.?)?,\\s*\\d{4}[a-z]?(?:;\\s*[A-Z][a-z]+(?:\\s+et\\s+al\\.?)?,\\s*\\d{4}[a-z]?)*\\)', '', 'g') AS cleaned FROM documents")
-def clean_citations(read, spark):
-    text = F.concat(F.lit("See "), "source", F.lit(" [1, 2] and [3-5] (Smith et al., 2020; Doe, 1999a) end"))
-    return read("documents").select("doc_id", t.drop(text, t.CITATION).alias("cleaned"))
-
-
-@query("SELECT doc_id, regexp_replace('Figure 3: ' || source || ' fig. 12. Table 4: x Algorithm 1. y', '(?i)(Figure|Fig\\.|Table|Algorithm|Listing)\\s+\\d+[.:]', '', 'g') AS cleaned FROM documents")
-def clean_captions(read, spark):
-    text = F.concat(F.lit("Figure 3: "), "source", F.lit(" fig. 12. Table 4: x Algorithm 1. y"))
-    return read("documents").select("doc_id", t.drop(text, t.CAPTION).alias("cleaned"))
-
-
-@query(r"SELECT doc_id, regexp_replace('a \mathbf{x}' || source || ' \alpha b', '\\[a-zA-Z]+\{[^}]*\}|\\[a-zA-Z]+', '', 'g') AS cleaned FROM documents")
-def clean_latex(read, spark):
-    return read("documents").select("doc_id", t.drop(F.concat(F.lit(r"a \mathbf{x}"), "source", F.lit(r" \alpha b")), t.LATEX).alias("cleaned"))
-
-
-@query("SELECT doc_id, regexp_replace(source || chr(10) || '12' || chr(10) || 'Page 7' || chr(10) || lang || chr(10) || '12345', '(?m)^\\s*(?:Page\\s*)?\\d{1,4}\\s*$', '', 'g') AS cleaned FROM documents")
-def clean_page_numbers(read, spark):
-    return read("documents").select("doc_id", t.drop(F.concat_ws("\n", "source", F.lit("12"), F.lit("Page 7"), "lang", F.lit("12345")), t.PAGE_NUMBER).alias("cleaned"))
-
-
 @query("SELECT doc_id, split_part(split_part(text || chr(10) || 'Acknowledgments' || chr(10) || lang || chr(10) || ' References ' || chr(10) || source || chr(10), chr(10) || ' References ' || chr(10), 1), chr(10) || 'Acknowledgments' || chr(10), 1) AS kept FROM documents")
 def clean_refs_cut(read, spark):
     text = F.concat("text", F.lit("\nAcknowledgments\n"), "lang", F.lit("\n References \n"), "source", F.lit("\n"))
     return read("documents").select("doc_id", t.cut_acknowledgements(t.cut_references(text)).alias("kept"))
 
 
-@query("SELECT doc_id, source || 'process' || lang || ' a- b' AS cleaned FROM documents")
-def clean_hyphen(read, spark):
-    return read("documents").select("doc_id", t.join_hyphens(F.concat("source", F.lit("pro-\ncess"), "lang", F.lit(" a- b"))).alias("cleaned"))
-
-
-@query("SELECT doc_id, lang || ' ' || source AS cleaned FROM documents")
-def clean_arxiv_header(read, spark):
-    return read("documents").select("doc_id", t.squeeze(t.drop(F.concat("lang", F.lit(" arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 "), "source"), t.ARXIV_HEADER)).alias("cleaned"))
-
-
-# The same steps over whole texts with the pattern before, within and after them; the SQL above asks for short columns.
+# Steps over whole texts with the pattern before, within and after them.
 _CITED = r"\[\d[\d,\s–\-]*\]|\([A-Z][a-z]+(?:\s+et\s+al\.?)?,\s*\d{4}[a-z]?(?:;\s*[A-Z][a-z]+(?:\s+et\s+al\.?)?,\s*\d{4}[a-z]?)*\)"
 
 
 @query(f"SELECT doc_id, regexp_replace('See [1, 2] ' || text || ' and [3-5] ' || text || ' (Smith et al., 2020; Doe, 1999a) end', '{_CITED}', '', 'g') AS cleaned FROM documents")
-def clean_citations_all(read, spark):
+def clean_citations(read, spark):
     text = F.concat(F.lit("See [1, 2] "), "text", F.lit(" and [3-5] "), "text", F.lit(" (Smith et al., 2020; Doe, 1999a) end"))
     return read("documents").select("doc_id", t.drop(text, t.CITATION).alias("cleaned"))
 
 
 @query("SELECT doc_id, regexp_replace('Figure 3: ' || text || ' fig. 12. ' || text || ' Table 4: x Algorithm 1. y', '(?i)(Figure|Fig\\.|Table|Algorithm|Listing)\\s+\\d+[.:]', '', 'g') AS cleaned FROM documents")
-def clean_captions_all(read, spark):
+def clean_captions(read, spark):
     text = F.concat(F.lit("Figure 3: "), "text", F.lit(" fig. 12. "), "text", F.lit(" Table 4: x Algorithm 1. y"))
     return read("documents").select("doc_id", t.drop(text, t.CAPTION).alias("cleaned"))
 
 
 @query(r"SELECT doc_id, regexp_replace('a \mathbf{x}' || text || ' \alpha b ' || text || ' \beta', '\\[a-zA-Z]+\{[^}]*\}|\\[a-zA-Z]+', '', 'g') AS cleaned FROM documents")
-def clean_latex_all(read, spark):
+def clean_latex(read, spark):
     text = F.concat(F.lit(r"a \mathbf{x}"), "text", F.lit(r" \alpha b "), "text", F.lit(r" \beta"))
     return read("documents").select("doc_id", t.drop(text, t.LATEX).alias("cleaned"))
 
 
 @query("SELECT doc_id, regexp_replace(text || chr(10) || '12' || chr(10) || 'Page 7' || chr(10) || text || chr(10) || '12345' || chr(10) || '9', '(?m)^\\s*(?:Page\\s*)?\\d{1,4}\\s*$', '', 'g') AS cleaned FROM documents")
-def clean_page_numbers_all(read, spark):
+def clean_page_numbers(read, spark):
     text = F.concat_ws("\n", "text", F.lit("12"), F.lit("Page 7"), "text", F.lit("12345"), F.lit("9"))
     return read("documents").select("doc_id", t.drop(text, t.PAGE_NUMBER).alias("cleaned"))
 
 
 @query("SELECT doc_id, regexp_replace('pro-' || chr(10) || 'cess ' || text || ' a- b re-' || chr(10) || 'sult ' || text, '([\\p{L}\\p{N}_])-\\n([\\p{L}\\p{N}_])', '\\1\\2', 'g') AS cleaned FROM documents")
-def clean_hyphen_all(read, spark):
+def clean_hyphen(read, spark):
     text = F.concat(F.lit("pro-\ncess "), "text", F.lit(" a- b re-\nsult "), "text")
     return read("documents").select("doc_id", t.join_hyphens(text).alias("cleaned"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(regexp_replace(text || ' arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 ' || text, '(?i)arXiv:\\d{4}\\.\\d{4,5}v\\d+\\s+\\[[\\w.]+\\]\\s+\\d{1,2}\\s+\\w+\\s+\\d{4}', '', 'g'), '\\s+', ' ', 'g')) AS cleaned FROM documents")
-def clean_arxiv_header_all(read, spark):
+def clean_arxiv_header(read, spark):
     text = F.concat("text", F.lit(" arXiv:2401.12345v2  [cs.CL]  3 Jan 2024 "), "text")
     return read("documents").select("doc_id", t.squeeze(t.drop(text, t.ARXIV_HEADER)).alias("cleaned"))
 
@@ -195,11 +163,11 @@ def content_hash_dedup(read, spark):
     return dedup.first_by_hash(read("documents"), "text", "doc_id")
 
 
-@query("SELECT doc_id, source, sha256(text) AS content_hash FROM documents d WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 2 = 0 AND e.source = d.source AND sha256(e.text) = sha256(d.text))")
+@query("SELECT doc_id, source, sha256(text) AS content_hash FROM documents d WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id % 2 = 0 AND e.source = d.source AND sha256(e.text) = sha256(d.text))")
 def hash_skip_existing(read, spark):
     docs = read("documents").withColumn("content", F.col("text"))
     stored = docs.where("doc_id % 2 = 0").select("source", t.content_hash(F.col("text")).alias("content_hash"), F.array(F.lit(1.0)).alias("embedding"))
-    return dedup.skip_embedded(docs.where("doc_id % 2 = 1").select("doc_id", "source", "content"), stored, "source").select("doc_id", "source", "content_hash")
+    return dedup.skip_embedded(docs.select("doc_id", "source", "content"), stored, "source").select("doc_id", "source", "content_hash")
 
 
 @query("SELECT source, CAST(list_sort(list(n_chars))[len(list(n_chars)) // 2 + 1] AS BIGINT) AS median FROM documents GROUP BY source")
@@ -238,15 +206,8 @@ def html_paragraphs(read, spark):
     return read("pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<p>([^<]*)"), F.lit(1))).alias("paragraphs"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
 
 
-@query("SELECT doc_id, text, 'Abstract' AS title FROM documents WHERE doc_id % 10 = 0")
-def abstract_sections(read, spark):
-    docs = read("documents").where("doc_id % 10 = 0").withColumn("abstract", F.col("text"))
-    none = docs.limit(0).select("doc_id", F.lit(0).alias("section_order"), F.lit("").alias("title"), "text", F.lit(0).alias("page_start"), F.lit(0).alias("page_end"))
-    return sections.with_abstract(none, docs).select("doc_id", "text", "title")
-
-
 @query("SELECT doc_id, text, 'Abstract' AS title FROM documents WHERE text <> ''")
-def abstract_sections_all(read, spark):
+def abstract_sections(read, spark):
     """Every document once with its text as the abstract and once with none, which gives no section."""
     docs = read("documents").withColumn("abstract", F.col("text"))
     none = docs.limit(0).select("doc_id", F.lit(0).alias("section_order"), F.lit("").alias("title"), "text", F.lit(0).alias("page_start"), F.lit(0).alias("page_end"))

@@ -49,9 +49,13 @@ def stale_model(read, spark):
     return embed.stale(read("embeddings").withColumn("embedding_model", F.concat(F.lit("model"), (F.col("label") % 2).cast("string"))), "model0").select("vec_id", "embedding_model")
 
 
-@query("SELECT doc_id, 64 AS dim FROM documents")
+@query("""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) AS w FROM documents), h AS (SELECT doc_id, md5_number_lower(w) AS h FROM w),
+s AS (SELECT doc_id, (h >> 20) % 64 AS k, sum(CASE WHEN (h >> 60) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL),
+n AS (SELECT doc_id, list(k) FILTER (v > 0) AS p, list(k) FILTER (v < 0) AS m FROM s GROUP BY doc_id)
+SELECT d.doc_id, array_to_string(list_transform(range(64), lambda i: CASE WHEN list_contains(p, i::UBIGINT) THEN '+' WHEN list_contains(m, i::UBIGINT) THEN '-' ELSE '0' END), '') AS signs FROM documents d LEFT JOIN n USING (doc_id)""")
 def hashing_embeddings(read, spark):
-    return embed.with_embeddings(read("documents"), embed.HashingEmbedder).select("doc_id", F.size("embedding").alias("dim"))
+    sign = F.transform("embedding", lambda x: F.when(x > 0, "+").when(x < 0, "-").otherwise("0"))
+    return embed.with_embeddings(read("documents"), embed.HashingEmbedder).select("doc_id", F.array_join(sign, "").alias("signs"))
 
 
 @query("SELECT a, b, cosine FROM (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id) WHERE isfinite(cosine) AND cosine >= 0.93")
@@ -70,9 +74,10 @@ def caption_jaccard(read, spark):
     return read("part").select("p_partkey", F.round(t.caption_similarity(a, b), 6).alias("similarity"))
 
 
-@query("SELECT p_partkey, CAST(p_size AS VARCHAR) AS first FROM part")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN [CAST(p_size AS VARCHAR), CAST(p_partkey AS VARCHAR)] WHEN 1 THEN [] ELSE ['0' || p_size] END AS numbers FROM part")
 def ordinals_match(read, spark):
-    return read("part").select("p_partkey", F.get(t.ordinals(F.concat(F.lit("Fig. "), "p_size", F.lit(" and "), "p_partkey")), F.lit(0)).alias("first"))
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Fig. "), "p_size", F.lit(" and "), "p_partkey")).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" II"))).otherwise(F.concat("p_type", F.lit("0"), "p_size", F.lit("a")))
+    return read("part").select("p_partkey", t.ordinals(text).alias("numbers"))
 
 
 def _boxes(read):
@@ -81,11 +86,6 @@ def _boxes(read):
     return lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", box(0.0, 0.0).alias("a"), box(4.0, 5.0).alias("b"))
 
 
-def _some_boxes(read):
-    """The orders that the SQL of iou_pairs and flip_boxes asks for."""
-    return _boxes(read).where("l_orderkey % 4 = 0")
-
-
 def _iou_pairs(boxes):
     x, y = boxes.alias("x"), boxes.alias("y")
     pairs = x.join(y, F.col("x.l_orderkey") == F.col("y.l_orderkey"))
@@ -97,17 +97,11 @@ def _flip_boxes(boxes):
     return boxes.select("l_orderkey", "l_linenumber", "l_partkey", f["x1"].alias("x1"), F.round(f["y1"], 6).alias("y1"), f["x2"].alias("x2"), F.round(f["y2"], 6).alias("y2"))
 
 
-_BOXES = "b AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_quantity AS x, l_linenumber * 10.0 AS y FROM lineitem WHERE l_orderkey % 4 = 0)"
 _IOU = "CASE WHEN least(a.x + 20, c.x + 24) > greatest(a.x, c.x + 4) AND least(a.y + 12, c.y + 17) > greatest(a.y, c.y + 5) THEN ((least(a.x + 20, c.x + 24) - greatest(a.x, c.x + 4)) * (least(a.y + 12, c.y + 17) - greatest(a.y, c.y + 5))) / (480 - (least(a.x + 20, c.x + 24) - greatest(a.x, c.x + 4)) * (least(a.y + 12, c.y + 17) - greatest(a.y, c.y + 5))) ELSE 0 END"
 
 
-@query(f"WITH {_BOXES} SELECT a.k AS l_orderkey, a.n AS ai, a.p AS ap, c.n AS ri, c.p AS rp, round(CAST({_IOU} AS DOUBLE), 6) AS iou FROM b a JOIN b c ON a.k = c.k")
-def iou_pairs(read, spark):
-    return _iou_pairs(_some_boxes(read))
-
-
 @query(f"WITH b AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_quantity AS x, l_linenumber * 10.0 AS y FROM lineitem) SELECT a.k AS l_orderkey, a.n AS ai, a.p AS ap, c.n AS ri, c.p AS rp, round(CAST({_IOU} AS DOUBLE), 6) AS iou FROM b a JOIN b c ON a.k = c.k")
-def iou_pairs_all(read, spark):
+def iou_pairs(read, spark):
     return _iou_pairs(_boxes(read))
 
 
@@ -130,19 +124,20 @@ def greedy_match(read, spark):
     return fusion.greedy(pairs.groupBy("doc_id", "ai", "ri").agg(F.max("score").alias("score"))).withColumn("score", F.round("score", 6))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, CAST(round(841.89 - (l_linenumber * 10.0 + 12), 6) AS DOUBLE) AS y1, l_quantity + 20 AS x2, CAST(round(841.89 - l_linenumber * 10.0, 6) AS DOUBLE) AS y2 FROM lineitem WHERE l_orderkey % 4 = 0")
-def flip_boxes(read, spark):
-    return _flip_boxes(_some_boxes(read))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, CAST(round(841.89 - (l_linenumber * 10.0 + 12), 6) AS DOUBLE) AS y1, l_quantity + 20 AS x2, CAST(round(841.89 - l_linenumber * 10.0, 6) AS DOUBLE) AS y2 FROM lineitem")
-def flip_boxes_all(read, spark):
+def flip_boxes(read, spark):
     return _flip_boxes(_boxes(read))
 
 
-@query("SELECT p_partkey, 3 AS page, least(p_size, 20)::DOUBLE AS x1, 1.5::DOUBLE AS y1, greatest(p_size + 5, 30)::DOUBLE AS x2, 9.0::DOUBLE AS y2 FROM part")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 4 ELSE CAST(p_partkey % 9 + 1 AS INT) END AS page,
+CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_partkey % 40 ELSE least(p_size, p_partkey % 40) END::DOUBLE AS x1, CASE WHEN p_partkey % 7 <> 0 THEN 1.5 END::DOUBLE AS y1,
+CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_partkey % 40 + 10 ELSE greatest(p_size + 5, p_partkey % 40 + 10) END::DOUBLE AS x2, CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 8 ELSE 9 END::DOUBLE AS y2 FROM part""")
 def coords_union(read, spark):
-    c = v.coords_box(F.concat(F.lit("3,"), "p_size", F.lit(",2,"), F.col("p_size") + 5, F.lit(",9;4,20,1.5,30,8;bad,1")))
+    """Two places for each part, some of which can't be read."""
+    key, far = F.col("p_partkey"), F.col("p_partkey") % 40
+    first = F.when((key % 5 == 0) | (key % 7 == 0), F.lit("bad,1")).otherwise(F.concat_ws(",", key % 9 + 1, "p_size", F.lit(2), F.col("p_size") + 5, F.lit(9)))
+    second = F.when(key % 7 == 0, F.lit("4,x,1,2,3")).otherwise(F.concat_ws(",", F.lit(4), far, F.lit(1.5), far + 10, F.lit(8)))
+    c = v.coords_box(F.concat_ws(";", first, second))
     return read("part").select("p_partkey", c["page"].alias("page"), c["x1"].alias("x1"), c["y1"].alias("y1"), c["x2"].alias("x2"), c["y2"].alias("y2"))
 
 
