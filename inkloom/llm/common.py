@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a fresh local one only where none is set (tests)."""
+    """The folder that driver and workers share; where none is set, a fresh local one if all run in one process, else an error."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if found is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all workers share")
         found = "file://" + tempfile.mkdtemp(prefix="inkloom-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)

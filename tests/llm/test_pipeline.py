@@ -1,4 +1,5 @@
 import os
+import random
 
 import corpus_pipeline
 import duckdb
@@ -58,6 +59,43 @@ def test_run_is_the_chain(spark, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, DIR).collect())) == sorted(map(tuple, docs.collect()))
 
 
+TABLES_OF_IT = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+
+
+def written(spark, folder, **tables):
+    """Tables in a folder; those not given are empty."""
+    for name, schema in TABLES_OF_IT.items():
+        rows = tables.get(name)
+        (rows if rows is not None else spark.createDataFrame([], schema)).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, written(spark, tmp_path)).count() == 0
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated ids and rows, long texts and columns of clashing names; without labels the classifier keeps all."""
+    words = [f"w{i}" for i in range(400)]
+    item = " ".join(f"v{i}" for i in range(30))
+    rng = random.Random(2)
+    own = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    near = own(80).split()
+    passage = own(40)
+    rows = [(1, " ".join(near), "en", "a", 5), (2, " ".join([*near[:79], "other"]), None, None, None), (3, f"{own(30)} {passage}", "en", None, 1), (4, f"{passage} {own(30)}", "fr", "b", 2), (5, f"{own(20)} {item} {own(20)}", "en", "a", 3)]
+    rows += [(6, None, None, None, None), (7, "", "en", "a", 0), (7, "", "en", "a", 0), (8, own(9000), "en", "a", 9), (9, own(20), "en", "a", 9), (9, own(21), "en", "a", 9), (None, own(25), "en", "a", 9), (None, None, None, None, None)]
+    kind = TABLES_OF_IT["documents"]
+    extra = ["id", "rep", "mark", "row", "seeds", "item_id", "component", "quality", "kind", "bucket", "rest", "kept"]
+    docs = spark.createDataFrame(rows, kind).select("*", *[F.lit(1).alias(c) for c in extra])
+    found = corpus_pipeline.run(spark, written(spark, tmp_path, documents=docs, benchmark=spark.createDataFrame([(1, item), (None, item), (2, None), (3, "short")], TABLES_OF_IT["benchmark"])))
+    left = sorted(r["doc_id"] if r["doc_id"] is not None else 0 for r in found.select("doc_id").collect())
+    assert left == [0, 0, 1, 3, 4, 6, 7, 7, 8, 9, 9]
+    # the passage that repeats goes from the later text
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    cut = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, str(tmp_path)).where("doc_id in (3, 4)").collect()}
+    assert passage in cut[3] and passage not in cut[4] and docs.columns == corpus_pipeline.cut_repeats(spark, docs, str(tmp_path)).columns
+
+
 def test_registered():
     assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES if q != "pipeline"}
     assert set(queries.QUERIES) <= set(entry.queries())
