@@ -21,6 +21,22 @@ def route(task: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ROUTES.items() for x in kv]), task), F.lit("default"))
 
 
+#: A task as it travels.
+TASK_TYPE = "struct<task:string,args:array<string>,options:map<string,string>,retries:int>"
+
+
+def task_message(task: Column, args: Column, options: Column | None = None, retries: Column | None = None) -> Column:
+    """A task with its arguments as JSON; what has no value is left out."""
+    fields = [task.alias("task"), args.alias("args"), *([options.alias("options")] if options is not None else []), (F.lit(0) if retries is None else retries).alias("retries")]
+    return F.to_json(F.struct(*fields))
+
+
+def task_of(message: Column) -> Column:
+    """TASK_TYPE of a message; null if it can't be read."""
+    found = F.from_json(message, TASK_TYPE)
+    return F.when(found["task"].isNotNull(), found)
+
+
 def expire(messages: DataFrame, now: Column, ttl: dict[str, int] = QUEUE_TTL) -> DataFrame:
     """Messages with the queue they are in now: that of dead letters (dlx.<queue>) if they have waited longer than theirs allows."""
     most = F.try_element_at(F.create_map(*[F.lit(x) for kv in ttl.items() for x in kv]), F.col("queue"))

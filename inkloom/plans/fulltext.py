@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
@@ -277,3 +278,54 @@ def reading_order(read, spark):
     until = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     before = counts.select("part", F.coalesce(F.sum("n").over(until), F.lit(0)).alias("before"))
     return spread.withColumn("part", part).join(before, "part").select("l_orderkey", F.col("section_order").alias("l_partkey"), F.col("chunk").alias("l_linenumber"), (F.col("before") + inside + 1).alias("place"))
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS doc_id, ai, CASE ai WHEN 0 THEN 'picture' WHEN 1 THEN 'table' ELSE 'formula' END AS asset_type, CASE ai WHEN 0 THEN p_name WHEN 1 THEN 'see ' || p_name END AS caption,
+CASE ai WHEN 1 THEN '| a |' WHEN 2 THEN 'x = ' || p_name END AS text, CAST(CASE WHEN ai < 2 THEN ai + 1 END AS INT) AS page_number, CAST(CASE WHEN ai < 2 THEN 4.0 END AS DOUBLE) AS y2 FROM part CROSS JOIN (VALUES (0), (1), (2)) a(ai) WHERE p_partkey % 4 <> 0""")
+def converted_assets(read, spark):
+    """Files through a converter that fails on every fourth, and the assets of the others."""
+
+    def converter(content: bytes) -> list[dict]:
+        key, name = content.decode().split("|")
+        if int(key) % 4 == 0:
+            raise ValueError("broken file")
+        place = lambda page: [{"page_no": page, "l": 1.0, "t": 2.0, "r": 3.0, "b": 4.0}, {"page_no": 99, "l": 0.0, "t": 0.0, "r": 0.0, "b": 0.0}]
+        none = {"caption": None, "refs": None, "orig": None, "text": None, "latex": None, "prov": None}
+        return [
+            none | {"kind": "PictureItem", "caption": name, "refs": ["unused"], "prov": place(1)}, none | {"kind": "TextItem", "text": "no asset"},
+            none | {"kind": "TableItem", "caption": "", "refs": ["see", name], "text": "| a |", "prov": place(2)}, none | {"kind": "EquationItem", "orig": "", "text": f"x = {name}", "latex": "y"},
+        ]
+
+    pdfs = read("part").select(F.col("p_partkey").cast("string").alias("doc_id"), F.encode(F.concat_ws("|", "p_partkey", "p_name"), "UTF-8").alias("content"), F.lit(None).cast("string").alias("skip_reason"))
+    return files.assets_of(files.convert(pdfs, converter)).withColumn("y2", F.col("bbox.y2")).drop("bbox")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS doc_id, CASE WHEN event_id % 5 <> 0 THEN '<date>' || event_type || '</date>' END AS tei_xml, event_id % 5 <> 0 AS ok, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 200 END AS status_code FROM events")
+def text_services(read, spark):
+    """Texts through a service that never answers every fifth."""
+
+    def call(service: str, content: bytes, options: dict) -> tuple[int, str]:
+        number, text = content.decode().split("|")
+        if int(number) % 5 == 0:
+            raise TimeoutError("no answer")
+        return 200, f"<date>{text}</date>"
+
+    texts = read("events").select(F.col("event_id").cast("string").alias("doc_id"), F.concat_ws("|", "event_id", "event_type").alias("text"))
+    return files.call_text_service(texts, call, "processDate", pause=lambda k: 0.0).select("doc_id", "tei_xml", "ok", "status_code")
+
+
+@query("""SELECT doc_id, CAST(least(n, 512) AS INT) AS token_count, round(a / sqrt(a * a + b * b), 6) AS x, round(b / sqrt(a * a + b * b), 6) AS y
+FROM (SELECT doc_id, len(w) + 1 AS n, 1.0::DOUBLE AS a, least(len(w) + 1, 512)::DOUBLE AS b FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents))""")
+def window_embeddings(read, spark):
+    """A toy token model, which shows the window, the vector of the first token and unit length."""
+    model = lambda: embed.WindowEmbedder("toy", 2, lambda text: [1, *(2 for _ in text.split())], lambda ids: [np.array([[float(x), float(len(row))] for x in row]) for row in ids])
+    chunks = embed.with_token_counts(embed.with_embeddings(read("documents"), model), model)
+    return chunks.select("doc_id", "token_count", F.round(F.col("embedding")[0].cast("double"), 6).alias("x"), F.round(F.col("embedding")[1].cast("double"), 6).alias("y"))
+
+
+@query("SELECT event_id, 'parse_pdf' AS task, [CAST(user_id AS VARCHAR), event_type] AS args, event_id % 3 AS retries FROM events WHERE event_id % 2 = 0")
+def task_messages(read, spark):
+    """Tasks as JSON and back; what isn't a task is null."""
+    message = lifecycle.task_message(F.lit("parse_pdf"), F.array(F.col("user_id").cast("string"), "event_type"), retries=(F.col("event_id") % 3).cast("int"))
+    found = read("events").select("event_id", lifecycle.task_of(F.when(F.col("event_id") % 2 == 0, message).otherwise(F.lit("{not json"))).alias("t")).where("t is not null")
+    return found.select("event_id", "t.task", "t.args", F.col("t.retries").cast("long").alias("retries"))

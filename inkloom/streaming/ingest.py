@@ -21,8 +21,8 @@ def windowed_counts(events: DataFrame, ts: str = "ts", kind: str = "event", late
     return events.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), kind).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), kind, "n")
 
 
-def write_stage(stream: DataFrame, step: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, key: str | None = None) -> StreamingQuery:
-    """Run a batch function on all that is there and append its rows; with a key, a batch that comes again adds nothing."""
+def write_stage(stream: DataFrame, step: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, key: str | None = None, every: int | None = None) -> StreamingQuery:
+    """Run a batch function on all that is there, once or every so many seconds, and append its rows; with a key, a batch that comes again adds nothing."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         from inkloom.sources.sinks import append_new
@@ -33,7 +33,8 @@ def write_stage(stream: DataFrame, step: Callable[[DataFrame], DataFrame], path:
         else:
             append_new(out, path, key, partition="batch_day") if "batch_day" in out.columns else append_new(out.withColumn("batch_day", F.lit("all")), path, key, partition="batch_day")
 
-    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=f"{every} seconds")).start()
 
 
 class FailureLog(StreamingQueryListener):

@@ -82,7 +82,7 @@ def test_downloads(spark, tmp_path):
             raise ConnectionError("no route")
         return b"x" * (3 << 20) if url == "big" else b"pdf"
 
-    found = {r["arxiv_id"]: (r["content"] and len(r["content"]), r["skip_reason"]) for r in files.fetch_pdfs(papers, papers.where("arxiv_id = 'e'"), fetch, most_mb=2).collect()}
+    found = {r["arxiv_id"]: (r["content"] and len(r["content"]), r["skip_reason"]) for r in files.fetch_pdfs(papers, papers.where("arxiv_id = 'e'"), fetch, most_mb=2, pause=lambda k: 0).collect()}
     assert found == {"a": (3, None), "b": (None, "download failed: no route"), "c": (None, "PDF too large (3.0 MB)"), "d": (None, "no address")}
     (tmp_path / "x.pdf").write_bytes(b"1")
     assert files.remove(spark, [str(tmp_path / "x.pdf"), str(tmp_path / "y.pdf")]) == 1
@@ -97,3 +97,41 @@ def test_assets(spark):
     row = spark.createDataFrame([("", "t", "l", [(2, 1.0, 2.0, 3.0, 4.0)])], "o string, t string, l string, prov array<struct<page_no:int,l:double,t:double,r:double,b:double>>").select(files.picked_asset_text(F.col("o"), F.col("t"), F.col("l")), files.asset_place(F.col("prov"))).first()
     assert row[0] == "t" and row[1]["page_number"] == 2 and tuple(row[1]["bbox"]) == (1.0, 2.0, 3.0, 4.0)
     assert tuple(files.convert_summary(spark.createDataFrame([(True,), (False,)], "ok boolean")).first()) == (1, 2)
+
+
+def test_pauses_grow_between_attempts():
+    assert [files.backoff(k) for k in range(7)] == [4, 4, 4, 8, 16, 30, 30]
+
+
+def test_answers_come_in_order(spark):
+    pdfs = spark.createDataFrame([(f"d{i}", bytes([i]), None, 9 - i) for i in range(10)], "doc_id string, content binary, skip_reason string, pos int")
+    found = files.call_in_order(pdfs, lambda service, content, options: (200, str(content[0])), "pos").collect()
+    assert [r["tei_xml"] for r in found] == [str(i) for i in range(9, -1, -1)]
+    with pytest.raises(ValueError, match="text"):
+        files.call_text_service(pdfs, lambda *a: (200, ""), "processFulltextDocument")
+
+
+def test_models_that_are_plugged_in():
+    slept = []
+    api = embed.ApiEmbedder("api", 2, lambda texts: [[float(len(t)), 1.0] for t in texts], batch=2, per_minute=20, sleep=slept.append)
+    assert api.embed_batch(["a", "bb", "ccc", "d", "e"]) == [[1, 1], [2, 1], [3, 1], [1, 1], [1, 1]] and slept == [3.0, 3.0]
+    with pytest.raises(ValueError, match="length"):
+        embed.ApiEmbedder("api", 3, lambda texts: [[0.0] for _ in texts]).embed_batch(["a"])
+    seen = []
+    model = lambda **k: embed.WindowEmbedder("m", 2, lambda t: [0, *map(len, t.split())], lambda ids: seen.append(len(ids)) or [[[3.0, 4.0], *([float(x), 0.0] for x in row[1:])] for row in ids], window=3, batch=2, **k)
+    assert model().embed_batch(["x", "y z w v", ""]) == [[0.6, 0.8]] * 3 and seen == [2, 1]
+    assert model(pooling="mean", normalized=False).embed_batch(["xx xxxx xx"]) == [[3.0, 4 / 3]]
+    assert model().token_counts(["", "a", "a b c d"]) == [1, 2, 3]
+    with pytest.raises(ValueError):
+        model(pooling="last")
+    made = []
+    factory = lambda: made.append(1) or embed.HashingEmbedder(8)
+    assert embed.create("own", {"own": factory}) is embed.create("own", {"own": factory}) and made == [1]
+
+
+def test_database_settings():
+    base = settings.Database.from_env({"INKLOOM_DB_HOST": "h", "INKLOOM_DB_PORT": "1", "INKLOOM_DB_PASSWORD": "p"})
+    assert base.options()["url"] == "jdbc:postgresql://h:1/papers" and base.options()["numPartitions"] == "10"
+    assert settings.redacted(base.address()) == "postgresql://papers:***@h:1/papers"
+    with pytest.raises(ValueError):
+        settings.Database.from_env({"INKLOOM_DB_PORT": "x"})
