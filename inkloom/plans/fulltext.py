@@ -314,13 +314,13 @@ def text_services(read, spark):
     return files.call_text_service(texts, call, "processDate", pause=lambda k: 0.0).select("doc_id", "tei_xml", "ok", "status_code")
 
 
-@query("""SELECT doc_id, CAST(least(n, 512) AS INT) AS token_count, round(a / sqrt(a * a + b * b), 6) AS x, round(b / sqrt(a * a + b * b), 6) AS y
-FROM (SELECT doc_id, len(w) + 1 AS n, 1.0::DOUBLE AS a, least(len(w) + 1, 512)::DOUBLE AS b FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents))""")
+@query("SELECT doc_id, CAST(least(n, 512) AS INT) AS token_count, CAST(least(n, 512) AS INT) AS ratio, 1.0::DOUBLE AS length FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 1 AS n FROM documents)")
 def window_embeddings(read, spark):
-    """A toy token model, which shows the window, the vector of the first token and unit length."""
+    """A toy token model, (token, tokens of the text) for each token, which shows the window, the vector of the first token and unit length."""
     model = lambda: embed.WindowEmbedder("toy", 2, lambda text: [1, *(2 for _ in text.split())], lambda ids: [np.array([[float(x), float(len(row))] for x in row]) for row in ids])
+    x, y = F.col("embedding")[0].cast("double"), F.col("embedding")[1].cast("double")
     chunks = embed.with_token_counts(embed.with_embeddings(read("documents"), model), model)
-    return chunks.select("doc_id", "token_count", F.round(F.col("embedding")[0].cast("double"), 6).alias("x"), F.round(F.col("embedding")[1].cast("double"), 6).alias("y"))
+    return chunks.select("doc_id", "token_count", F.round(y / x).cast("int").alias("ratio"), F.round(x * x + y * y, 4).alias("length"))
 
 
 @query("SELECT event_id, 'parse_pdf' AS task, [CAST(user_id AS VARCHAR), event_type] AS args, event_id % 3 AS retries FROM events WHERE event_id % 2 = 0")
