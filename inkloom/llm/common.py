@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame, files_per_core: int | None = None) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives lost executors and ends the lineage.
+    """Reliable checkpoint in the shared folder: survives lost workers and ends the lineage.
 
     files_per_core bounds the number of files, for tables of short rows.
     """

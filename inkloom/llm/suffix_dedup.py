@@ -6,7 +6,8 @@
    every byte they cover.  Before anything is sorted, copies of a context are put
    together, first among the rows a task has, then over all, so that a common
    passage costs one record a task: the earliest stands for them and the others,
-   which repeat as a whole, are removed.  Copies are told by 128 bits of hash.
+   which repeat as a whole, are removed.  Copies that a task has together are compared
+   byte by byte, those of different tasks by 128 bits of hash.
 2. Blocks whose anchor occurs in other contexts too may share some windows with
    them.  Their contexts go to shards, sets of anchors; the windows of an anchor
    with more than SPLIT_CONTEXTS contexts are dealt out one by one, by a hash of their
@@ -181,12 +182,30 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
         yield slab()
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the strings of these sizes at two places are equal; one of size 0 is not."""
+    out = size > 0
+    total = np.cumsum(size)
+    lo = 0
+    while lo < len(size):  # about a million bytes at a time
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 20), "right")))
+        n = size[lo:hi]
+        some = np.flatnonzero(n)
+        if len(some):
+            ends = np.cumsum(n[some])
+            within = np.arange(ends[-1]) - np.repeat(ends - n[some], n[some])
+            equal = data[np.repeat(a[lo:hi][some], n[some]) + within] == data[np.repeat(b[lo:hi][some], n[some]) + within]
+            out[lo + some] = np.logical_and.reduceat(equal, ends - n[some])
+        lo = hi
+    return out
+
+
 def _sampled(length: int, buckets: int):
     """Blocks of all windows, without those that repeat as a whole within a slab, which are marked."""
     pieces, gram_pieces, w = _pieces(length), _pieces(GRAM), length - GRAM + 1
 
     def blocks(doc: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        """Anchor's hash, context's hash, id, tag, first window and windows after it of each block."""
+        """Anchor's hash, context's hash, id, tag, first window, windows after it and place in the data of each block."""
         n = len(data)
         sizes = np.diff(offsets)
         tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], dtype=np.int64)
@@ -204,15 +223,23 @@ def _sampled(length: int, buckets: int):
         lo, hi, q, row = start[head], start[np.append(head[1:], total) - 1], anchor[head], row[head]
         whole = mix(_joined(parts, lo, pieces, n)) * _STEP[1] + _joined(parts, hi, pieces, n)
         context = mix(mix(whole) + (hi - lo).astype(np.uint64) * _STEP[2] + (q - lo).astype(np.uint64) * _STEP[3])
-        return [gram[q], context, doc[row], tags[row], lo - offsets[row], (hi - lo).astype(np.int32)]
+        return [gram[q], context, doc[row], tags[row], lo - offsets[row], (hi - lo).astype(np.int32), lo]
 
-    def sent(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def sent(held: list[list[np.ndarray]], texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        core, context, doc, tag, lo, span = (np.concatenate(c) for c in zip(*held, strict=True))
+        data = np.concatenate(texts)
+        begin = np.cumsum([0, *map(len, texts[:-1])])
+        core, context, doc, tag, lo, span, at = (np.concatenate(c) for c in zip(*held, strict=True))
+        at = at + np.repeat(begin, [len(h[0]) for h in held])
         order = np.lexsort((lo, tag, doc, context, core))
-        core, context, doc, tag, lo, span = (c[order] for c in (core, context, doc, tag, lo, span))
+        core, context, doc, tag, lo, span, at = (c[order] for c in (core, context, doc, tag, lo, span, at))
         again = np.append(False, (core[1:] == core[:-1]) & (context[1:] == context[:-1]))
+        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
+        copies = np.flatnonzero(again)
+        other = copies[~_same_bytes(data, at[copies], at[first[copies]], np.where(span[copies] == span[first[copies]], span[copies] + length, 0))]
+        again[other] = False  # equal hashes only: no copy, so the sort decides
+        context[other] = mix(context[other] + other.astype(np.uint64) + U64(1))
         out = _mark_rows(doc[again], tag[again], lo[again], span[again] + length, buckets)
         keep = np.flatnonzero(~again)
         keep = keep[np.lexsort((lo[keep], tag[keep], doc[keep]))]
@@ -222,15 +249,16 @@ def _sampled(length: int, buckets: int):
             yield _batch(out[at : at + 64])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, texts, size = [], [], 0
         for doc, data, offsets in _slabs(batches):
             if (np.diff(offsets) >= length).any():
                 held.append(blocks(doc, data, offsets))
+                texts.append(data)
             size += len(data)
             if size >= SLAB:
-                yield from sent(held)
-                held, size = [], 0
-        yield from sent(held)
+                yield from sent(held, texts)
+                held, texts, size = [], [], 0
+        yield from sent(held, texts)
 
     return lambda batches: released(run(batches))
 

@@ -75,6 +75,38 @@ def test_queues_go_to_disk_and_names_recur_in_production():
     assert induced_sort.COUNTS["spills"] > 5 and induced_sort.COUNTS["recursions"] > 1
 
 
+def test_same_bytes():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 2, 5000).astype(np.uint8)
+    data[3000:4000] = data[:1000]
+    a, size = rng.integers(0, 900, 300), rng.integers(0, 90, 300)
+    b = np.where(rng.random(300) < 0.5, a + 3000, rng.integers(0, 4900, 300))
+    want = [bool(n) and data[x : x + n].tobytes() == data[y : y + n].tobytes() for x, y, n in zip(a, b, size, strict=True)]
+    assert suffix_dedup._same_bytes(data, a, b, size).tolist() == want and any(want) and not all(want)
+
+
+def test_equal_hashes_are_no_proof_within_a_task(odd_docs, monkeypatch):
+    """With a hash that takes all contexts of an anchor for copies, bytes still decide, and the sort finds the rest."""
+    rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect() if r["doc_id"] is not None and r["doc_id"] < 120]
+    joined = suffix_dedup._joined
+
+    def weak(parts, at, sizes, n):
+        return joined(parts, at, sizes, n) if isinstance(at, slice) else np.zeros(len(at), dtype=np.uint64)
+
+    run = suffix_dedup._sampled(100, 5)
+    monkeypatch.setattr(suffix_dedup, "_joined", weak)
+    data = [(i, t) for i, t in rows if t]
+    batch = suffix_dedup.pa.record_batch([suffix_dedup.pa.array([i for i, _ in data]), suffix_dedup.pa.array([t for _, t in data])], names=["doc", "text"])
+    marked = [x for out in run(iter([batch])) for kind, x in zip(out.column(0).to_pylist(), out.column(2).to_pylist(), strict=True) if kind == suffix_dedup.MARKS]
+    texts, found = dict(data), 0
+    for blob in marked:
+        for d, _, lo, size in zip(*(c.tolist() for c in suffix_dedup._unpack(blob)), strict=True):
+            part = texts[d].encode()[lo : lo + size]
+            assert any(part in t.encode()[: lo + size - 1 if i == d else None] for i, t in texts.items() if i <= d)
+            found += 1
+    assert found
+
+
 def brute(rows, length):
     """Rows in order of id and checksum; equal rows once."""
     key = lambda r: (-(1 << 63) if r[0] is None else r[0], zlib.crc32((r[1] or "").encode()))
