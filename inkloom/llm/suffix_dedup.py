@@ -470,7 +470,7 @@ def removed(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id", text_
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = _prime(max(4 * partitions + 1, size // BUCKET_BYTES))
     # the session's own number of partitions, which may be adapted at run time, as long as it is enough
-    by = [F.col("bucket")] if buckets // 4 <= partitions else [buckets // 4, F.col("bucket")]
+    by = [F.col("bucket")] if size // BUCKET_BYTES <= 4 * partitions else [buckets // 4, F.col("bucket")]
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     texts = docs.select(key.alias("doc"), F.col(text_col).cast("string").alias("text"))
     blocks = texts.mapInArrow(_sampled(length, buckets), _ROWS)
