@@ -18,10 +18,11 @@ min-hashes.  A pair whose similarity reaches the threshold agrees in at least
    spanning forest.  A list of many rows is cut into blocks that meet two by two.
 4. Components of these candidates are groups in which the full sets decide; a
    group keeps a forest of its true links.  In a large group all documents are first
-   compared with PIVOTS of them.  What is linked with a pivot needs no comparison with
-   its like: only with documents not linked but near enough for the triangle
-   inequality, which Jaccard distances obey, to leave a link open.  So of a group of
-   copies each text travels twice, not once for each block of others.
+   compared with PIVOTS of them.  What is linked with one pivot, or with pivots that
+   links connect, needs no comparison with its like: only with documents not linked
+   with them but near enough for the triangle inequality, which Jaccard distances
+   obey, to leave a link open, be they linked with other pivots or with none.  So of a
+   group of copies each text travels twice, not once for each block of others.
 5. Components of the true links give the answer.
 """
 
@@ -141,23 +142,29 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def forest(n: int, linked) -> list[tuple[int, int]]:
+def forest(n: int, linked, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Edges of a spanning forest of 0..n-1; linked(f, others) says which of the others are linked with f.
 
     Each element is compared with those outside its component alone, so a group
-    whose members are all alike takes one pass.
+    whose members are all alike takes one pass.  known: elements with equal
+    numbers of 0 or more are connected already, and never compared.
     """
     outside, edges = np.arange(n), []
     while len(outside):
-        front, outside = [outside[0]], outside[1:]
-        while front and len(outside):
+        found, outside, front = outside[:1], outside[1:], []
+        while True:
+            front += found.tolist()
+            if known is not None and len(found):
+                like = np.isin(known[outside], known[found][known[found] >= 0])
+                front += outside[like].tolist()
+                outside = outside[~like]
+            if not front or not len(outside):
+                break
             f = front.pop()
             hit = linked(f, outside)
             found = outside[hit]
-            if len(found):
-                edges += [(int(f), int(v)) for v in found]
-                outside = outside[~hit]
-                front += found.tolist()
+            edges += [(int(f), int(v)) for v in found]
+            outside = outside[~hit]
     return edges
 
 
@@ -214,6 +221,7 @@ def _candidates(posted: DataFrame, least: int) -> DataFrame:
 def _verified(grouped: DataFrame, words: int, percent: int, least: int, punctuated: bool) -> DataFrame:
     def links(group: pa.Table, rule: ByteRule) -> Iterator[tuple[int, int]]:
         rep = group.column(3).to_pylist()
+        known = group.column(5).to_numpy()
         sets = list(shingle_sets(group.column(4), rule, words))
         low = np.stack([signature(s) for s in sets]).astype(np.uint8) if len(sets) > 16 else None
         size = np.array([len(s) for s in sets])
@@ -229,7 +237,7 @@ def _verified(grouped: DataFrame, words: int, percent: int, least: int, punctuat
                 hit[i] = 100 * both >= percent * (size[f] + size[others[i]] - both)
             return hit
 
-        for x, y in forest(len(rep), linked):
+        for x, y in forest(len(rep), linked, known):
             yield rep[x], rep[y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,16 +247,18 @@ def _verified(grouped: DataFrame, words: int, percent: int, least: int, punctuat
                 yield pa.record_batch([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
     keys = list(_GROUP)
-    return grouped.select(*keys, "id", "text").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: released(run(batches)), "a long, b long")
+    return grouped.select(*keys, "id", "text", "known").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: released(run(batches)), "a long, b long")
 
 
 _GROUP = ("component", "block_i", "block_j")
 
 
 def _probed(large: DataFrame, words: int, percent: int, punctuated: bool) -> DataFrame:
-    """(component, id, links, near): of documents of large groups, the pivots they are linked with and the distance of the nearest one.
+    """(component, id, pivots, links, far): of documents of large groups, the pivots, which of them they are linked with, and their distances.
 
-    large: component, blocks, id, text.  A task has the pivots and one block of a group.
+    large: component, blocks, id, text.  A task has the pivots and one block of a
+    group.  All rows of a group have the same pivots in the same order; links
+    are places in it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,21 +266,23 @@ def _probed(large: DataFrame, words: int, percent: int, punctuated: bool) -> Dat
         for group in _groups(batches, 2):
             kind, ids = group.column(2).to_numpy(), group.column(3).to_numpy()
             sets = list(shingle_sets(group.column(4), rule, words))
-            pivots = np.flatnonzero(kind == 0)
-            links, near, rest = [], [], np.flatnonzero(kind == 1)
+            pivots = sorted(np.flatnonzero(kind == 0).tolist(), key=lambda p: (ids[p], sets[p].tobytes()))
+            links, far, rest = [], [], np.flatnonzero(kind == 1)
             for i in rest.tolist():
-                found, best = [], 1.0
-                for p in pivots.tolist():
+                found, apart = [], []
+                for k, p in enumerate(pivots):
                     a, b = sets[i], sets[p]
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     whole = len(a) + len(b) - both
-                    best = min(best, 1 - both / whole)
+                    apart.append(1 - both / whole)
                     if 100 * both >= percent * whole:
-                        found.append(int(ids[p]))
+                        found.append(k)
                 links.append(found)
-                near.append(best)
+                far.append(apart)
             component = group.column(0).to_numpy()
-            yield pa.record_batch([pa.array(component[rest]), pa.array(ids[rest]), pa.array(links, pa.list_(pa.int64())), pa.array(near, pa.float64())], names=["component", "id", "links", "near"])
+            names = ["component", "id", "pivots", "links", "far"]
+            own = [ids[pivots].tolist()] * len(rest)
+            yield pa.record_batch([pa.array(component[rest]), pa.array(ids[rest]), pa.array(own, pa.list_(pa.int64())), pa.array(links, pa.list_(pa.int32())), pa.array(far, pa.list_(pa.float64()))], names=names)
 
     first = Window.partitionBy("component").orderBy(F.xxhash64("id"), "id")
     chosen = large.select("component", "blocks", "id", F.row_number().over(first).alias("k")).where(F.col("k") <= PIVOTS).select("component", "id")
@@ -278,27 +290,62 @@ def _probed(large: DataFrame, words: int, percent: int, punctuated: bool) -> Dat
     heads = large.join(chosen, ["component", "id"], "left_semi").select("component", F.explode(slices).alias("slice"), F.lit(0).alias("kind"), "id", "text")
     rest = large.select("component", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("slice"), F.lit(1).alias("kind"), "id", "text")
     met = heads.unionByName(rest).repartition("component", "slice").sortWithinPartitions("component", "slice", "kind")
-    return met.mapInArrow(lambda batches: released(run(batches)), "component long, id long, links array<long>, near double")
+    return met.mapInArrow(lambda batches: released(run(batches)), "component long, id long, pivots array<long>, links array<int>, far array<double>")
+
+
+def _clusters(probed: DataFrame) -> DataFrame:
+    """(component, clusters): of each pivot the least one, by its place, with which linked documents connect it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for n, linked in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                of = list(range(n))
+                for links in linked:
+                    least = min(of[k] for k in links)
+                    joined = {of[k] for k in links}
+                    of = [least if c in joined else c for c in of]
+                out.append(of)
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["component", "clusters"])
+
+    linked = probed.groupBy("component").agg(F.max(F.size("pivots")).alias("n"), F.collect_set(F.when(F.size("links") > 0, F.col("links"))).alias("linked"))
+    return linked.mapInArrow(run, "component long, clusters array<int>")
 
 
 def _open_pairs(large: DataFrame, probed: DataFrame, percent: int) -> DataFrame:
     """Large groups in blocks so that all pairs meet whose link the pivots leave open.
 
-    Documents linked with a pivot are connected.  One of them and another
-    document can only be linked if that is within twice the limit of a pivot.
+    Documents linked with a pivot are connected with all that are linked with it,
+    and with those of the pivots that such documents connect: a cluster.  One of a
+    cluster and a document outside it, be it of another cluster or of none, can only
+    be linked if that is within twice the limit of a pivot of the cluster, and if
+    no pivot tells them apart by more than the limit.  Of two clusters the
+    documents of the later one are held against the earlier one.  Documents of no
+    cluster meet all of their like.
     """
-    limit = 1 - percent / 100
-    told = large.select("component", "id", "n", "text").join(probed.select("component", "id", F.size("links").alias("linked"), "near"), ["component", "id"])
-    told = told.withColumn("open", (F.col("linked") == 0) & (F.col("near") <= 2 * limit + 1e-9))
-    need = lambda which: F.greatest(F.ceil(F.count_if(which) / GROUP_ROWS), F.ceil(F.sum(F.when(which, F.col("n")).otherwise(0)) / GROUP_SHINGLES)).cast("int")
-    sizes = told.groupBy("component").agg(need(F.col("linked") > 0).alias("by_pivot"), need(F.col("linked") == 0).alias("apart"), need(F.col("open")).alias("opened"))
-    told = told.join(sizes, "component")
-    mine = lambda n: F.pmod(F.xxhash64("id"), F.greatest(F.col(n), F.lit(1))).cast("int")
-    every = lambda n: F.explode(F.expr(f"CASE WHEN {n} > 0 THEN sequence(0, {n} - 1) ELSE array() END"))
-    one = told.where("linked > 0").select("component", mine("by_pivot").alias("block_i"), every("opened").alias("j"), "id", "text").select("component", "block_i", (-1 - F.col("j")).alias("block_j"), "id", "text")
-    other = told.where("open").select("component", every("by_pivot").alias("block_i"), (-1 - mine("opened")).alias("block_j"), "id", "text")
-    apart = in_blocks(told.where("linked = 0"), "component", F.col("apart"), "id").select(*_GROUP, "id", "text")
-    return one.unionByName(other).unionByName(apart)
+    limit, slack = 1 - percent / 100, 1e-9
+    told = large.select("component", "id", "n", "text").join(probed.select("component", "id", "links", "far"), ["component", "id"]).join(_clusters(probed), "component")
+    told = told.withColumn("known", F.when(F.size("links") > 0, F.element_at("clusters", F.element_at("links", 1) + 1)).otherwise(-1))
+    near = F.expr("array_min(transform(filter(sequence(1, size(far)), k -> element_at(clusters, k) = c), k -> element_at(far, k)))")
+    outside = told.withColumn("c", F.explode(F.array_distinct("clusters"))).where("known = -1 or c < known").where(near <= 2 * limit + slack)
+    inside = told.where("known >= 0").withColumn("c", F.col("known"))
+    need = lambda of: F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias(of)
+    at = lambda k: F.try_element_at("far", F.lit(k + 1))
+    ranges = [f(at(k)).alias(f"{name}{k}") for k in range(PIVOTS) for name, f in (("lo", F.min), ("hi", F.max))]
+    inside = inside.join(outside.groupBy("component", "c").agg(need("outer"), *ranges), ["component", "c"])
+    for k in range(PIVOTS):
+        inside = inside.where(F.coalesce((at(k) >= F.col(f"lo{k}") - limit - slack) & (at(k) <= F.col(f"hi{k}") + limit + slack), F.lit(True)))
+    outside = outside.join(inside.groupBy("component", "c").agg(need("inner"), F.first("outer").alias("outer")), ["component", "c"])
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = inside.join(outside.select("component", "c", "inner").distinct(), ["component", "c"])
+    one = inner.withColumn("block_i", mine("inner")).withColumn("j", every("outer"))
+    other = outside.withColumn("block_i", every("inner")).withColumn("j", mine("outer"))
+    crossed = one.select("component", "block_i", "j", "c", "id", "text", "known").unionByName(other.select("component", "block_i", "j", "c", "id", "text", "known"))
+    crossed = crossed.select("component", "block_i", (-1 - (F.col("j") * PIVOTS + F.col("c"))).alias("block_j"), "id", "text", "known")
+    alone = told.where("known = -1")
+    sizes = alone.groupBy("component").agg(need("blocks"))
+    return crossed.unionByName(in_blocks(alone.join(sizes, "component"), "component", F.col("blocks"), "id").select(*_GROUP, "id", "text", "known"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuated: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -336,12 +383,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuat
     blocks = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("blocks"))
     members = cut(sized.select("id", "component", "n").join(blocks, "component"))
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    grouped = in_blocks(members.where("blocks = 1").join(texts, "id"), "component", F.lit(1), "id").select(*_GROUP, "id", "text")
+    grouped = in_blocks(members.where("blocks = 1").join(texts, "id"), "component", F.lit(1), "id").select(*_GROUP, "id", "text", F.lit(-1).alias("known"))
     links = None
     if not members.where("blocks > 1").isEmpty():
         large = cut(members.where("blocks > 1").join(texts, "id"))
         probed = cut(_probed(large, words, percent, punctuated))
-        links = probed.select(F.col("id").alias("a"), F.explode("links").alias("b"))
+        links = probed.select(F.col("id").alias("a"), F.explode(F.transform("links", lambda k: F.element_at("pivots", k + 1))).alias("b"))
         grouped = grouped.unionByName(_open_pairs(large, probed, percent))
     true = _verified(grouped, words, percent, least, punctuated)
     found = components(true if links is None else true.unionByName(links))

@@ -87,6 +87,33 @@ def test_large_groups_of_copies_travel_twice(spark, monkeypatch):
     assert held[0] < 4  # 312 documents in blocks of 20 would send each to 15 others
 
 
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_links_between_documents_of_different_pivots(spark, monkeypatch, words, percent):
+    """Sliding windows over long texts: links between what only different pivots are linked with hold the chains together."""
+    monkeypatch.setattr(minhash, "GROUP_ROWS", 20)
+    rows = [(100 * k + i, " ".join(f"t{k}w{j}" for j in range(step * i, step * i + 100))) for k, step in enumerate((2, 3, 4, 6, 8)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(str(tuple(r)) for r in minhash.near_duplicates(docs, words, percent).collect())
+    assert found == brute_near(rows, words, percent)
+
+
+def test_forest_of_known_classes():
+    """Classes known to be connected are not compared, and all other links are found."""
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 30, 60):
+        near = rng.random((n, n)) < 1 / n
+        near |= near.T
+        known = rng.integers(-1, 5, n) if n > 2 else np.full(n, -1)
+
+        def linked(f, others, near=near, known=known):
+            assert known[f] < 0 or not (known[others] == known[f]).any()
+            return near[f, others]
+
+        joined = groups(n, lambda a, b: near[a, b] or 0 <= known[a] == known[b])
+        edges = {frozenset(e) for e in minhash.forest(n, linked, known)}
+        assert groups(n, lambda a, b: frozenset((a, b)) in edges or 0 <= known[a] == known[b]) == joined
+
+
 def test_minhash_without_rows(no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
