@@ -76,7 +76,12 @@ def purge_summary(files: DataFrame, now: Column, days: int) -> DataFrame:
 
 
 def skip_reason(length: Column, most: int = MAX_PDF_MB) -> Column:
-    return F.when(length / 1048576 > most, F.format_string("PDF too large (%.1f MB)", length / 1048576))
+    """Why a file of that many bytes is left out; megabytes are exact and of two equally near tenths the even one is shown, as C and Python do (Java rounds up)."""
+    tenfold = length.cast("long") * 10
+    whole, rest = F.shiftright(tenfold, 20), tenfold.bitwiseAND(1048575)
+    tenths = whole + F.when((rest > 524288) | ((rest == 524288) & (whole % 2 == 1)), 1).otherwise(0)
+    shown = F.format_string("PDF too large (%d.%d MB)", F.floor(tenths / 10), tenths % 10)
+    return F.when(length / 1048576 > most, shown)
 
 
 def parseable(papers: DataFrame) -> DataFrame:

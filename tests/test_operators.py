@@ -189,3 +189,11 @@ def test_rules(spark):
     assert [r["broken"] for r in validate.paper_violations(papers).collect()] == [["processing_status", "venue_type", "title"]]
     history = spark.createDataFrame([("p", 1, "pending"), ("p", 2, "indexing"), ("p", 3, "done"), ("q", 1, "done"), ("q", 2, "pending")], "paper_id string, ts int, status string")
     assert {(r["paper_id"], r["ts"]) for r in lifecycle.illegal_steps(history).collect()} == {("q", 1), ("q", 2)}
+
+
+def test_size_in_reason_is_rounded_as_sql_does(spark):
+    """Halves go to the even tenth, and what is just beside them to the nearest."""
+    quarter = 1 << 18
+    sizes = [None, 0, 50 << 20, (50 << 20) + 1, *(k * quarter + d for k in range(200, 232) for d in (-1, 0, 1)), *(n * 4096 for n in range(12790, 13400)), (1 << 50) + quarter, (1 << 50) + 3 * quarter]
+    found = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i int, n long").select("i", lifecycle.skip_reason(F.col("n"))).collect()
+    assert dict(map(tuple, found)) == {i: f"PDF too large ({n / 1048576:.1f} MB)" if n is not None and n > 50 << 20 else None for i, n in enumerate(sizes)}
