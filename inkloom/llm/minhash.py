@@ -23,7 +23,13 @@ min-hashes.  A pair whose similarity reaches the threshold agrees in at least
    with them but near enough for the triangle inequality, which Jaccard distances
    obey, to leave a link open, be they linked with other pivots or with none.  So of a
    group of copies each text travels twice, not once for each block of others.
-5. Components of the true links give the answer.
+5. Components of the true links give the answer so far.
+6. Signatures leave a chance, and texts made for it can defeat fixed hashes, so an
+   exact check follows: sets at the threshold share one of their first
+   n - ceil(threshold * n) + 1 shingles in any common order.  Those are posted, what is
+   common in a sample last, and documents of different components that meet under one are
+   compared on the full sets if their sizes, the places of what they share in the order, and
+   how many of the posted ones they share allow the link.
 """
 
 from __future__ import annotations
@@ -50,6 +56,16 @@ SKIPPED = 24
 LIST_ROWS = 4096
 GROUP_ROWS = 2048
 GROUP_SHINGLES = 4 << 20
+#: Documents about, and share of them, from which the order of shingles is learnt, how many of these have a
+#: common one, and most common ones.  Any order gives all links; a bad one makes lists longer.
+ORDER_DOCS = 4096
+ORDER_SHARE = 1 / 32
+COMMON = 3
+MOST_COMMON = 1 << 20
+#: Posted shingles of a bucket of the exact check.
+BUCKET_POSTS = 1 << 20
+#: Pairs that it looks at together.
+PAIRS = 1 << 20
 #: Documents of a large group with which all others are compared first.
 PIVOTS = 8
 
@@ -89,18 +105,50 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> U64(32)).astype("<u4")
 
 
-def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, punctuated: bool) -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+
+
+def _common(texts: DataFrame, words: int, punctuated: bool) -> np.ndarray:
+    """Sorted shingles that several documents of a sample have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rule = ByteRule(PUNCTUATED if punctuated else SPACES)
+        for batch in batches:
+            if sets := list(shingle_sets(batch.column(0), rule, words)):
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+    share = min(1.0, max(ORDER_SHARE, ORDER_DOCS / max(texts.count(), 1)))
+    sample = texts.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+    counted = sample.mapInArrow(lambda batches: released(run(batches)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle").toArrow()
+    return np.sort(rows.column(0).to_numpy().view(np.uint64))
+
+
+def first_shingles(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a sorted set, common ones last, of which sets at the threshold share one."""
+    n = len(shingles)
+    most = n - -(-percent * n // 100) + 1
+    late = np.zeros(n, dtype=bool)
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] == shingles
+    return np.concatenate([shingles[~late][:most], shingles[late]])[:most]
+
+
+def _signed(texts: DataFrame, words: int, percent: int, punctuated: bool, common: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = ByteRule(PUNCTUATED if punctuated else SPACES)
         for batch in batches:
-            size, mark, sig = [], [], []
+            size, mark, sig, first = [], [], [], []
             for s in shingle_sets(batch.column(1), rule, words):
                 size.append(len(s))
                 mark.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sig.append(signature(s).tobytes() if len(s) else b"")
-            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), pa.array(mark, pa.binary()), pa.array(sig, pa.binary())], names=["id", "n_shingles", "mark", "sig"])
+                first.append(first_shingles(s, common, percent).tobytes() if len(s) else b"")
+            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), *(pa.array(c, pa.binary()) for c in (mark, sig, first))], names=["id", "n_shingles", "mark", "sig", "first"])
 
-    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary")
+    return texts.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary, first binary")
 
 
 def _posted(reps: DataFrame) -> DataFrame:
@@ -226,15 +274,31 @@ def _verified(grouped: DataFrame, words: int, percent: int, least: int, punctuat
         low = np.stack([signature(s) for s in sets]).astype(np.uint8) if len(sets) > 16 else None
         size = np.array([len(s) for s in sets])
 
+        @cache
+        def lists() -> tuple[np.ndarray, np.ndarray]:
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            return flat[order], np.repeat(np.arange(len(sets)), size)[order]
+
+        def shared(f: int) -> np.ndarray:
+            """How many shingles each document of the group shares with f."""
+            shingle, of = lists()
+            lo, hi = np.searchsorted(shingle, sets[f]), np.searchsorted(shingle, sets[f], side="right")
+            at = np.arange((hi - lo).sum()) + np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo)
+            return np.bincount(of[at], minlength=len(sets))
+
         def linked(f: int, others: np.ndarray) -> np.ndarray:
             small, large = np.minimum(size[f], size[others]), np.maximum(size[f], size[others])
             hit = 100 * small >= percent * large
             if low is not None and hit.any():
                 at = np.flatnonzero(hit)
                 hit[at] = np.count_nonzero(low[others[at]] == low[f], axis=1) >= least
-            for i in np.flatnonzero(hit):
-                both = len(np.intersect1d(sets[f], sets[others[i]], assume_unique=True))
-                hit[i] = 100 * both >= percent * (size[f] + size[others[i]] - both)
+            at = np.flatnonzero(hit)
+            if len(at) > 16:
+                both = shared(f)[others[at]]
+            else:
+                both = np.array([len(np.intersect1d(sets[f], sets[i], assume_unique=True)) for i in others[at]], dtype=np.int64)
+            hit[at] = 100 * both >= percent * (size[f] + size[others[at]] - both)
             return hit
 
         for x, y in forest(len(rep), linked, known):
@@ -348,6 +412,100 @@ def _open_pairs(large: DataFrame, probed: DataFrame, percent: int) -> DataFrame:
     return crossed.unionByName(in_blocks(alone.join(sizes, "component"), "component", F.col("blocks"), "id").select(*_GROUP, "id", "text", "known"))
 
 
+_POST = np.dtype([("shingle", "<u8"), ("rep", "<i8"), ("whole", "<i8"), ("n", "<u4"), ("place", "<u4")])
+
+
+def _summed(key: np.ndarray, shared: np.ndarray, may: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row a key: the sum of shared, whether any may, the least of least."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[heads], np.add.reduceat(shared[order], heads), np.maximum.reduceat(may[order], heads), np.minimum.reduceat(least[order], heads)
+
+
+def _pairs_of_posts(posts: np.ndarray, percent: int) -> list[np.ndarray]:
+    """a, b, shared, may, least of pairs of rep of different components and fitting sizes that share posted shingles.
+
+    shared: how many; may: under one of them the places allow a link if it is the
+    first they share; least: how many a link at the threshold has among all those posted.
+    """
+    posts = posts[np.lexsort((posts["whole"], posts["shingle"]))]
+    names, rep = np.unique(posts["rep"], return_inverse=True)
+    n, place = (posts[c].astype(np.int64) for c in ("n", "place"))
+    left = -(-percent * n // 100) - 1  # shingles that are not posted
+    other = posts["shingle"][1:] != posts["shingle"][:-1]
+    ends = lambda new: np.repeat(h := np.append(np.flatnonzero(new) + 1, len(posts)), np.diff(np.append(0, h)))
+    start = ends(other | (posts["whole"][1:] != posts["whole"][:-1]))  # what an entry meets: those of later components in its list
+    many = ends(other) - start
+    total = np.cumsum(many)
+    out, held, lo = [], 0, 0
+    while lo < len(posts) and total[-1]:
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, side="right")))
+        x = np.repeat(np.arange(lo, hi), many[lo:hi])
+        y = np.arange(len(x)) + np.repeat(start[lo:hi] - (total[lo:hi] - many[lo:hi] - (total[lo - 1] if lo else 0)), many[lo:hi])
+        lo = hi
+        fit = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        x, y = x[fit], y[fit]
+        if len(x):
+            need = -(-percent * (n[x] + n[y]) // (100 + percent))
+            may = np.minimum(n[x] - place[x], n[y] - place[y]) >= need  # nothing before is shared
+            key = np.minimum(rep[x], rep[y]) << 32 | np.maximum(rep[x], rep[y])
+            out.append((key, np.ones(len(x), dtype=np.int64), may, need - np.maximum(left[x], left[y])))
+            held += len(x)
+            if held > PAIRS:
+                out, held = [_summed(*(np.concatenate(c) for c in zip(*out, strict=True)))], 0
+    if not out:
+        return [names[:0], names[:0], *(np.zeros(0, dtype=t) for t in (np.int64, bool, np.int64))]
+    key, shared, may, least = _summed(*(np.concatenate(c) for c in zip(*out, strict=True)))
+    return [names[key >> 32], names[key & 0xFFFFFFFF], shared, may, least]
+
+
+def _missed(classes: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int, punctuated: bool) -> DataFrame:
+    """(a, b): the links between documents that are not in one component of those found."""
+    placed = classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("whole"), "n", "first")
+    buckets = -(-(classes.agg(F.sum(F.octet_length("first"))).first()[0] or 0) // 8 // BUCKET_POSTS) or 1
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rep, whole, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            first = batch.column(3).to_pylist()
+            many = np.array([len(f) // 8 for f in first])
+            posts = np.empty(many.sum(), dtype=_POST)
+            posts["shingle"] = np.frombuffer(b"".join(first), dtype="<u8")
+            posts["rep"], posts["whole"], posts["n"] = np.repeat(rep, many), np.repeat(whole, many), np.repeat(n, many)
+            posts["place"] = np.arange(len(posts)) - np.repeat(np.cumsum(many) - many, many)
+            bucket = (posts["shingle"] % U64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            posts, ends = posts[order], np.cumsum(np.bincount(bucket, minlength=buckets))
+            of = np.flatnonzero(np.diff(np.append(0, ends)))
+            yield pa.record_batch([pa.array(of, pa.int64()), pa.array([posts[(ends[b - 1] if b else 0) : ends[b]].tobytes() for b in of], pa.binary())], names=["bucket", "posts"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 1):
+            found = _pairs_of_posts(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent)
+            for lo in range(0, len(found[0]), 1 << 16):
+                yield pa.record_batch([pa.array(c[lo : lo + (1 << 16)]) for c in found], names=["a", "b", "shared", "may", "least"])
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rule = ByteRule(PUNCTUATED if punctuated else SPACES)
+        for batch in batches:
+            one, other = (shingle_sets(batch.column(i), rule, words) for i in (2, 3))
+            hit = []
+            for x, y in zip(one, other, strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                hit.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    posted = placed.mapInArrow(lambda batches: released(post(batches)), "bucket long, posts binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    met = posted.mapInArrow(lambda batches: released(meet(batches)), "a long, b long, shared long, may boolean, least long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", "may", "least")
+    summed = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.bool_or("may").alias("may"), F.min("least").alias("least"))
+    pairs = cut(summed.where("may and shared >= least").select("a", "b"), 3)
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(lambda batches: released(confirm(batches)), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuated: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row.
 
@@ -362,8 +520,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuat
     kept.  Repeated rows are rows of one class; rows that share an id share its
     component.  Other columns are not read; no rows give no rows.
     """
-    signed = cut(_signed(docs, id_col, text_col, words, punctuated))
-    classes = cut(signed.where("n_shingles > 0 and id is not null").groupBy("mark").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
+    texts = _texts(docs, id_col, text_col)
+    signed = cut(_signed(texts, words, percent, punctuated, _common(texts, words, punctuated)))
+    named = signed.where("n_shingles > 0 and id is not null")
+    classes = cut(named.groupBy("mark").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"), F.first("first").alias("first")))
     t = match_threshold(POSTED, percent)
     least = match_threshold(COORDINATES, percent)
     posted = _posted(classes)
@@ -382,16 +542,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuat
     sized = candidates.join(classes.select(F.col("rep").alias("id"), "n"), "id")
     blocks = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("blocks"))
     members = cut(sized.select("id", "component", "n").join(blocks, "component"))
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     grouped = in_blocks(members.where("blocks = 1").join(texts, "id"), "component", F.lit(1), "id").select(*_GROUP, "id", "text", F.lit(-1).alias("known"))
-    links = None
+    # rows that share an id connect the classes that they are in
+    several = named.groupBy("id").agg(F.min("mark").alias("one"), F.max("mark").alias("other")).where("one <> other").select("id")
+    links = named.join(several, "id", "left_semi").join(classes.select("mark", "rep"), "mark").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     if not members.where("blocks > 1").isEmpty():
         large = cut(members.where("blocks > 1").join(texts, "id"))
         probed = cut(_probed(large, words, percent, punctuated))
-        links = probed.select(F.col("id").alias("a"), F.explode(F.transform("links", lambda k: F.element_at("pivots", k + 1))).alias("b"))
+        links = links.unionByName(probed.select(F.col("id").alias("a"), F.explode(F.transform("links", lambda k: F.element_at("pivots", k + 1))).alias("b")))
         grouped = grouped.unionByName(_open_pairs(large, probed, percent))
     true = _verified(grouped, words, percent, least, punctuated)
-    found = components(true if links is None else true.unionByName(links))
+    found = components(true.unionByName(links))
+    missed = cut(_missed(classes, found, texts, words, percent, punctuated), 3)
+    if not missed.isEmpty():
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(missed))
     named = signed.select("id", "n_shingles", "mark").join(classes.select("mark", "rep"), "mark", "left").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     whole = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "rep", "id"))
     return named.select(F.col("id").alias(id_col), "n_shingles", whole.alias("component_id"), F.coalesce(whole == F.col("id"), F.lit(True)).alias("kept"))

@@ -97,6 +97,65 @@ def test_links_between_documents_of_different_pivots(spark, monkeypatch, words,
     assert found == brute_near(rows, words, percent)
 
 
+def text_beside_signatures(rng, base, words, percent):
+    """base with words after it whose shingles are the least of as many coordinates as can be found, and still linked."""
+    rule = minhash.ByteRule(minhash.SPACES)
+    sets = lambda texts: list(minhash.shingle_sets(minhash.pa.array(texts), rule, words))
+    own = minhash.signature(sets([" ".join(base)])[0])
+    text = list(base)
+    for _ in range(100 * (len(base) - words + 1) // percent - (len(base) - words + 1)):
+        tried = [f"x{rng.random()}" for _ in range(400)]
+        tail = text[-words + 1 :]
+        sig = [minhash.signature(s) for s in sets([" ".join([*tail, w]) for w in tried])]
+        text.append(tried[int(np.argmax([(s < own).sum() for s in sig]))])
+        own = np.minimum(own, sig[int(np.argmax([(s < own).sum() for s in sig]))])
+    return " ".join(text)
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_links_that_no_signature_shows(spark, words, percent):
+    """Texts made so that the signatures of near ones disagree, and copies that only a shared id connects."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(3):
+        base = [f"w{rng.random()}" for _ in range(150)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, text_beside_signatures(rng, base, words, percent))]
+    rows += [(50, "a b c d e f"), (60, "a b c d e f"), (60, "g h i j k l"), (70, "g h i j k l"), (70, "m n o p q r"), (65, "m n o p q r")]
+    sig = [minhash.signature(next(minhash.shingle_sets(minhash.pa.array([t]), minhash.ByteRule(minhash.SPACES), words))) for _, t in rows[:2]]
+    assert (sig[0] == sig[1]).sum() < minhash.match_threshold(minhash.COORDINATES, percent)
+    found = sorted(str(tuple(r)) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words, percent).collect())
+    want = brute_near(rows, words, percent)
+    assert found == want and sum("True" in r for r in want) == 4
+
+
+def test_exact_check_alone_finds_all_links(spark, odd_docs, monkeypatch):
+    """Without any candidates of signatures, over several buckets and an order of its own."""
+    monkeypatch.setattr(minhash, "match_threshold", lambda k, percent: k)
+    monkeypatch.setattr(minhash, "BUCKET_POSTS", 50)
+    monkeypatch.setattr(minhash, "MOST_COMMON", 40)
+    rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
+    found = sorted(str(tuple(r)) for r in minhash.near_duplicates(odd_docs, 3, 85).collect())
+    assert found == brute_near(rows, 3, 85)
+
+
+def test_posted_pairs_by_brute_force():
+    """Every pair at the threshold is among the posted pairs, in any order of shingles."""
+    rng = np.random.default_rng(2)
+    for percent in (50, 80, 85, 100):
+        sets = [np.unique(rng.integers(0, 1 << 60, rng.integers(1, 60), dtype=np.uint64))]
+        for _ in range(150):
+            s = sets[rng.integers(len(sets))]
+            sets.append(np.unique(np.concatenate([s[rng.random(len(s)) > rng.choice([0, 0.05, 0.1, 0.3])], rng.integers(0, 1 << 60, rng.integers(1, 6), dtype=np.uint64)])))
+        common = np.unique(rng.choice(np.concatenate(sets), 40))
+        first = [minhash.first_shingles(s, common, percent) for s in sets]
+        posts = np.array([(x, i, i, len(sets[i]), k) for i, f in enumerate(first) for k, x in enumerate(f.tolist())], dtype=minhash._POST)
+        a, b, shared, may, least = minhash._pairs_of_posts(posts, percent)
+        found = {frozenset(p) for p in zip(a[may & (shared >= least)].tolist(), b[may & (shared >= least)].tolist(), strict=True)}
+        both = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+        near = {frozenset((i, j)) for i in range(len(sets)) for j in range(i) if 100 * both(i, j) >= percent * (len(sets[i]) + len(sets[j]) - both(i, j))}
+        assert near <= found and (near or percent == 100)
+
+
 def test_forest_of_known_classes():
     """Classes known to be connected are not compared, and all other links are found."""
     rng = np.random.default_rng(8)
