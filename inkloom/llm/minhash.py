@@ -66,6 +66,8 @@ MOST_COMMON = 1 << 20
 BUCKET_POSTS = 1 << 20
 #: Pairs that it looks at together.
 PAIRS = 1 << 20
+#: Most bits of the filter that keeps texts which take no part out of a shuffle; more ids make it let more texts through.
+FILTER_BITS = 1 << 26
 #: Documents of a large group with which all others are compared first.
 PIVOTS = 8
 
@@ -140,15 +142,35 @@ def _signed(texts: DataFrame, words: int, percent: int, punctuated: bool, common
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = ByteRule(PUNCTUATED if punctuated else SPACES)
         for batch in batches:
-            size, mark, sig, first = [], [], [], []
+            size, mark, sig, low, first = [], [], [], [], []
             for s in shingle_sets(batch.column(1), rule, words):
                 size.append(len(s))
                 mark.append(xxhash.xxh3_128_digest(s.tobytes()))
-                sig.append(signature(s).tobytes() if len(s) else b"")
+                whole = signature(s) if len(s) else np.zeros(0, dtype="<u4")
+                sig.append(whole[:POSTED].tobytes())
+                low.append(whole.astype(np.uint8).tobytes())
                 first.append(first_shingles(s, common, percent).tobytes() if len(s) else b"")
-            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), *(pa.array(c, pa.binary()) for c in (mark, sig, first))], names=["id", "n_shingles", "mark", "sig", "first"])
+            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), *(pa.array(c, pa.binary()) for c in (mark, sig, low, first))], names=["id", "n_shingles", "mark", "sig", "low", "first"])
 
-    return texts.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary, first binary")
+    return texts.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary, low binary, first binary")
+
+
+def _holding(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of texts whose id is among ids, and a few others, found in a narrow pass behind a bitmap of hashes."""
+    bits = 1 << 10
+    while bits < min(8 * ids.count(), FILTER_BITS):
+        bits *= 2
+    place = lambda of: F.pmod(F.xxhash64(of), F.lit(bits))
+    words = ids.select(place("id").alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("mask")).toArrow()
+    bitmap = np.zeros(bits // 64, dtype=np.int64)
+    bitmap[words.column(0).to_numpy()] = words.column(1).to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array((bitmap[at // 64] >> (at % 64) & 1).astype(bool)))
+
+    return texts.where("id is not null").select("id", "text", place("id").alias("at")).mapInArrow(lambda batches: released(run(batches)), "id long, text string")
 
 
 def _posted(reps: DataFrame) -> DataFrame:
@@ -159,7 +181,7 @@ def _posted(reps: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(batch.num_rows, COORDINATES)[:, :POSTED]
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(batch.num_rows, POSTED)
             pairs = (sig.astype(np.uint64) << U64(8) | np.arange(POSTED, dtype=np.uint64)) * (place[0] | U64(1))
             yield pa.record_batch([pa.array(pairs.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), POSTED))], names=["pair", "rep"])
 
@@ -460,10 +482,12 @@ def _pairs_of_posts(posts: np.ndarray, percent: int) -> list[np.ndarray]:
     return [names[key >> 32], names[key & 0xFFFFFFFF], shared, may, least]
 
 
-def _missed(classes: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int, punctuated: bool) -> DataFrame:
+def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int, punctuated: bool) -> DataFrame:
     """(a, b): the links between documents that are not in one component of those found."""
-    placed = classes.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("whole"), "n", "first")
-    buckets = -(-(classes.agg(F.sum(F.octet_length("first"))).first()[0] or 0) // 8 // BUCKET_POSTS) or 1
+    wholes = classes.select("mark", "rep").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("mark", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("whole"))
+    placed = named.select("mark", "id", F.col("n_shingles").alias("n"), "first").join(wholes, ["mark", "id"]).select(F.col("id").alias("rep"), "whole", "n", "first")
+    many = classes.agg(F.sum(F.expr(f"n - ceil({percent} * n / 100) + 1"))).first()[0] or 0
+    buckets = -(-int(many) // BUCKET_POSTS) or 1
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -502,6 +526,10 @@ def _missed(classes: DataFrame, found: DataFrame, texts: DataFrame, words: int,
     met = posted.mapInArrow(lambda batches: released(meet(batches)), "a long, b long, shared long, may boolean, least long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", "may", "least")
     summed = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.bool_or("may").alias("may"), F.min("least").alias("least"))
     pairs = cut(summed.where("may and shared >= least").select("a", "b"), 3)
+    if pairs.isEmpty():
+        return pairs
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = _holding(texts, ends)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(lambda batches: released(confirm(batches)), "a long, b long")
 
@@ -523,7 +551,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuat
     texts = _texts(docs, id_col, text_col)
     signed = cut(_signed(texts, words, percent, punctuated, _common(texts, words, punctuated)))
     named = signed.where("n_shingles > 0 and id is not null")
-    classes = cut(named.groupBy("mark").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"), F.first("first").alias("first")))
+    classes = cut(named.groupBy("mark").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("n_shingles").alias("n")))
     t = match_threshold(POSTED, percent)
     least = match_threshold(COORDINATES, percent)
     posted = _posted(classes)
@@ -536,31 +564,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, punctuat
         .where(F.col("rank") <= F.lit(POSTED - t + 1) - (F.lit(POSTED) - F.col("repeated")))
         .select("rep", "pair", "count")
     )
-    low = classes.select("rep", _low_bytes("sig").alias("low"))
-    lists = in_blocks(prefix.join(low, "rep"), "pair", F.ceil(F.col("count") / LIST_ROWS), "rep")
+    lists = in_blocks(prefix.join(classes.select("rep", "low"), "rep"), "pair", F.ceil(F.col("count") / LIST_ROWS), "rep")
     candidates = components(_candidates(lists, least))
     sized = candidates.join(classes.select(F.col("rep").alias("id"), "n"), "id")
     blocks = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_ROWS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("blocks"))
     members = cut(sized.select("id", "component", "n").join(blocks, "component"))
-    grouped = in_blocks(members.where("blocks = 1").join(texts, "id"), "component", F.lit(1), "id").select(*_GROUP, "id", "text", F.lit(-1).alias("known"))
+    held = _holding(texts, members)
+    grouped = in_blocks(members.where("blocks = 1").join(held, "id"), "component", F.lit(1), "id").select(*_GROUP, "id", "text", F.lit(-1).alias("known"))
     # rows that share an id connect the classes that they are in
     several = named.groupBy("id").agg(F.min("mark").alias("one"), F.max("mark").alias("other")).where("one <> other").select("id")
     links = named.join(several, "id", "left_semi").join(classes.select("mark", "rep"), "mark").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     if not members.where("blocks > 1").isEmpty():
-        large = cut(members.where("blocks > 1").join(texts, "id"))
+        large = cut(members.where("blocks > 1").join(held, "id"))
         probed = cut(_probed(large, words, percent, punctuated))
         links = links.unionByName(probed.select(F.col("id").alias("a"), F.explode(F.transform("links", lambda k: F.element_at("pivots", k + 1))).alias("b")))
         grouped = grouped.unionByName(_open_pairs(large, probed, percent))
     true = _verified(grouped, words, percent, least, punctuated)
     found = components(true.unionByName(links))
-    missed = cut(_missed(classes, found, texts, words, percent, punctuated), 3)
+    missed = cut(_missed(named, classes, found, texts, words, percent, punctuated), 3)
     if not missed.isEmpty():
         found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(missed))
     named = signed.select("id", "n_shingles", "mark").join(classes.select("mark", "rep"), "mark", "left").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     whole = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "rep", "id"))
     return named.select(F.col("id").alias(id_col), "n_shingles", whole.alias("component_id"), F.coalesce(whole == F.col("id"), F.lit(True)).alias("kept"))
-
-
-def _low_bytes(sig: str):
-    """The lowest byte of each coordinate, enough to count collisions by."""
-    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.hex(F.substring(F.col(sig), i * 4 + 1, F.lit(1)))), ""))

@@ -156,6 +156,16 @@ def test_posted_pairs_by_brute_force():
         assert near <= found and (near or percent == 100)
 
 
+def test_texts_that_take_no_part_are_left_out(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(-500, 1500)] + [(3, "again"), (None, "none")], "id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(-40, 40, 4)] + [(3,)], "id long")
+    found = [tuple(r) for r in minhash._holding(docs, ids).collect()]
+    assert {(i, f"text {i}") for i in range(-40, 40, 4)} | {(3, "again"), (3, "text 3")} <= set(found) and len(found) < 200
+    assert not minhash._holding(docs, ids.limit(0)).collect()
+    monkeypatch.setattr(minhash, "FILTER_BITS", 64)
+    assert {r["id"] for r in ids.collect()} <= {r["id"] for r in minhash._holding(docs, ids).collect()}
+
+
 def test_forest_of_known_classes():
     """Classes known to be connected are not compared, and all other links are found."""
     rng = np.random.default_rng(8)
