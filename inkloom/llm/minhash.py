@@ -27,9 +27,13 @@ min-hashes.  A pair whose similarity reaches the threshold agrees in at least
 6. Signatures leave a chance, and texts made for it can defeat fixed hashes, so an
    exact check follows: sets at the threshold share one of their first
    n - ceil(threshold * n) + 1 shingles in any common order.  Those are posted, what is
-   common in a sample last, and documents of different components that meet under one are
-   compared on the full sets if their sizes, the places of what they share in the order, and
-   how many of the posted ones they share allow the link.
+   common in a sample last.  Posts under which no documents of different components and
+   fitting sizes meet are left behind; the others go on with a sketch of their document,
+   a bit for each residue of its shingles that says whether an odd number has it.  Two sets
+   differ in as many shingles as their sketches in bits, at least, so that documents
+   which differ in more than a link allows are told apart where they meet, before there is
+   a row of the pair.  The rest is compared on the full sets if the sizes, the places of what they
+   share in the order, and how many of the posted ones they share allow the link.
 """
 
 from __future__ import annotations
@@ -44,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import PUNCTUATED, SPACES, U64, ByteRule, buffers, cut, grams, random_words, released, runs, word_hashes
+from inkloom.llm.common import PUNCTUATED, SPACES, U64, ByteRule, buffers, cut, grams, mix, random_words, released, runs, word_hashes
 from inkloom.llm.graph import components, in_blocks
 
 COORDINATES = 128
@@ -62,10 +66,12 @@ ORDER_DOCS = 4096
 ORDER_SHARE = 1 / 32
 COMMON = 3
 MOST_COMMON = 1 << 20
-#: Posted shingles of a bucket of the exact check.
+#: Posted shingles of a bucket of the exact check, and of one of those that documents of different components meet under.
 BUCKET_POSTS = 1 << 20
-#: Pairs that it looks at together.
+BUCKET_LIVE = 1 << 18
+#: Pairs that it looks at together, and bytes of sketches that it compares at once.
 PAIRS = 1 << 20
+SKETCH_BYTES = 16 << 20
 #: Most bits of the filter that keeps texts which take no part out of a shuffle; more ids make it let more texts through.
 FILTER_BITS = 1 << 26
 #: Documents of a large group with which all others are compared first.
@@ -138,11 +144,49 @@ def first_shingles(shingles: np.ndarray, common: np.ndarray, percent: int) -> np
     return np.concatenate([shingles[~late][:most], shingles[late]])[:most]
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bit for each residue of the shingles by a power of two not below their number, set if an odd number has it."""
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    return np.packbits(np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+class Sketches:
+    """Sketches of documents, and which pairs of these they leave open."""
+
+    def __init__(self, sketches: list[bytes | None]):
+        """None: nothing is known of the document."""
+        self.words = np.array([len(s) // 8 if s else 0 for s in sketches])
+        self.row = np.zeros(len(sketches), dtype=np.int64)
+        self.folded = np.zeros(len(sketches), dtype=np.int64)
+        self.of: dict[int, np.ndarray] = {}
+        widths = np.unique(self.words[self.words > 0]).tolist()
+        for w in widths:  # rows of this width, and then those of twice the width in halves
+            own, wide = np.flatnonzero(self.words == w), np.flatnonzero(self.words == 2 * w)
+            self.row[own], self.folded[wide] = np.arange(len(own)), len(own) + np.arange(len(wide))
+            halves = np.frombuffer(b"".join(sketches[i] for i in wide), dtype=np.uint64).reshape(len(wide), 2, w)
+            self.of[w] = np.concatenate([np.frombuffer(b"".join(sketches[i] for i in own), dtype=np.uint64).reshape(len(own), w), halves[:, 0] ^ halves[:, 1]])
+
+    def open(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Which pairs may differ in no more than `most` shingles."""
+        out = np.ones(len(x), dtype=bool)
+        width = np.minimum(self.words[x], self.words[y])
+        told = (width > 0) & (np.maximum(self.words[x], self.words[y]) <= 2 * width)
+        for w in np.unique(width[told]).tolist():
+            all_of_width = np.flatnonzero(told & (width == w))
+            row = lambda of, w=w: np.where(self.words[of] == w, self.row[of], self.folded[of])
+            step = max(1, SKETCH_BYTES // (8 * w))
+            for lo in range(0, len(all_of_width), step):
+                at = all_of_width[lo : lo + step]
+                apart = np.bitwise_count(self.of[w][row(x[at])] ^ self.of[w][row(y[at])]).sum(axis=1, dtype=np.int64)
+                out[at] = apart <= most[at]
+        return out
+
+
 def _signed(texts: DataFrame, words: int, percent: int, punctuated: bool, common: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = ByteRule(PUNCTUATED if punctuated else SPACES)
         for batch in batches:
-            size, mark, sig, low, first = [], [], [], [], []
+            size, mark, sig, low, first, odd = [], [], [], [], [], []
             for s in shingle_sets(batch.column(1), rule, words):
                 size.append(len(s))
                 mark.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -150,9 +194,10 @@ def _signed(texts: DataFrame, words: int, percent: int, punctuated: bool, common
                 sig.append(whole[:POSTED].tobytes())
                 low.append(whole.astype(np.uint8).tobytes())
                 first.append(first_shingles(s, common, percent).tobytes() if len(s) else b"")
-            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), *(pa.array(c, pa.binary()) for c in (mark, sig, low, first))], names=["id", "n_shingles", "mark", "sig", "low", "first"])
+                odd.append(sketch(s) if len(s) else b"")
+            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), *(pa.array(c, pa.binary()) for c in (mark, sig, low, first, odd))], names=["id", "n_shingles", "mark", "sig", "low", "first", "sketch"])
 
-    return texts.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary, low binary, first binary")
+    return texts.mapInArrow(lambda batches: released(run(batches)), "id long, n_shingles long, mark binary, sig binary, low binary, first binary, sketch binary")
 
 
 def _holding(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -445,14 +490,36 @@ def _summed(key: np.ndarray, shared: np.ndarray, may: np.ndarray, least: np.ndar
     return key[heads], np.add.reduceat(shared[order], heads), np.maximum.reduceat(may[order], heads), np.minimum.reduceat(least[order], heads)
 
 
-def _pairs_of_posts(posts: np.ndarray, percent: int) -> list[np.ndarray]:
+def _places(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key with the places that have it."""
+    order = np.argsort(keys, kind="stable")
+    heads = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(keys) else order
+    for at in np.split(order, heads[1:]) if len(keys) else []:
+        yield int(keys[at[0]]), at
+
+
+def _live(posts: np.ndarray, percent: int) -> np.ndarray:
+    """The posts under whose shingle documents of different components may meet; between those of a list no step in size is too large."""
+    posts = posts[np.lexsort((posts["n"], posts["shingle"]))]
+    if not len(posts):
+        return posts
+    n = posts["n"].astype(np.int64)
+    new = np.append(True, (posts["shingle"][1:] != posts["shingle"][:-1]) | (100 * n[:-1] < percent * n[1:]))
+    heads = np.flatnonzero(new)
+    mixed = np.minimum.reduceat(posts["whole"], heads) != np.maximum.reduceat(posts["whole"], heads)
+    return posts[np.repeat(mixed, np.diff(np.append(heads, len(posts))))]
+
+
+def _pairs_of_posts(posts: np.ndarray, percent: int, sketches: dict[int, bytes | None] | None = None) -> list[np.ndarray]:
     """a, b, shared, may, least of pairs of rep of different components and fitting sizes that share posted shingles.
 
     shared: how many; may: under one of them the places allow a link if it is the
     first they share; least: how many a link at the threshold has among all those posted.
+    sketches: of each rep; pairs that they tell apart are left out.
     """
     posts = posts[np.lexsort((posts["whole"], posts["shingle"]))]
     names, rep = np.unique(posts["rep"], return_inverse=True)
+    known = None if sketches is None else Sketches([sketches[r] for r in names.tolist()])
     n, place = (posts[c].astype(np.int64) for c in ("n", "place"))
     left = -(-percent * n // 100) - 1  # shingles that are not posted
     other = posts["shingle"][1:] != posts["shingle"][:-1]
@@ -468,8 +535,11 @@ def _pairs_of_posts(posts: np.ndarray, percent: int) -> list[np.ndarray]:
         lo = hi
         fit = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
         x, y = x[fit], y[fit]
+        need = -(-percent * (n[x] + n[y]) // (100 + percent))
+        if known is not None:
+            near = known.open(rep[x], rep[y], n[x] + n[y] - 2 * need)
+            x, y, need = x[near], y[near], need[near]
         if len(x):
-            need = -(-percent * (n[x] + n[y]) // (100 + percent))
             may = np.minimum(n[x] - place[x], n[y] - place[y]) >= need  # nothing before is shared
             key = np.minimum(rep[x], rep[y]) << 32 | np.maximum(rep[x], rep[y])
             out.append((key, np.ones(len(x), dtype=np.int64), may, need - np.maximum(left[x], left[y])))
@@ -506,9 +576,40 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
             of = np.flatnonzero(np.diff(np.append(0, ends)))
             yield pa.record_batch([pa.array(of, pa.int64()), pa.array([posts[(ends[b - 1] if b else 0) : ends[b]].tobytes() for b in of], pa.binary())], names=["bucket", "posts"])
 
+    owner = lambda ids: (mix(ids.astype(np.uint64)) % U64(buckets)).astype(np.int64)
+    fields = "long, posts binary, reps array<long>, sketches array<binary>"
+
+    def rows(name: str, keys: list[int], posts: list, reps: list, sketches: list) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(keys, pa.int64()), pa.array(posts, pa.binary()), pa.array(reps, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.binary()))], names=[name, "posts", "reps", "sketches"])
+
+    def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 1):
+            posts = _live(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent)
+            own = owner(posts["rep"])
+            parts = {k: posts[at].tobytes() for k, at in _places(own)}
+            yield rows("own", list(parts), list(parts.values()), [None] * len(parts), [None] * len(parts))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, odd = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            parts = dict(_places(owner(ids)))
+            yield rows("own", list(parts), [None] * len(parts), [ids[at] for at in parts.values()], [[odd[i] for i in at] for at in parts.values()])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 1):
+            posts = np.frombuffer(b"".join(p for p in group.column(1).to_pylist() if p), dtype=_POST)
+            known: dict[int, bytes | None] = {}
+            for ids, odd in zip(group.column(2).to_pylist(), group.column(3).to_pylist(), strict=True):
+                for k, o in zip(ids or [], odd or [], strict=True):
+                    known[k] = o if known.get(k, o) == o else None  # several texts with one id have no sketch
+            parts = {k: posts[at] for k, at in _places((posts["shingle"] % U64(again)).astype(np.int64))}
+            reps = [np.unique(p["rep"]) for p in parts.values()]
+            yield rows("bucket", list(parts), [p.tobytes() for p in parts.values()], reps, [[known[k] for k in r.tolist()] for r in reps])
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 1):
-            found = _pairs_of_posts(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent)
+            known = {k: o for ids, odd in zip(group.column(2).to_pylist(), group.column(3).to_pylist(), strict=True) for k, o in zip(ids, odd, strict=True)}
+            found = _pairs_of_posts(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent, known)
             for lo in range(0, len(found[0]), 1 << 16):
                 yield pa.record_batch([pa.array(c[lo : lo + (1 << 16)]) for c in found], names=["a", "b", "shared", "may", "least"])
 
@@ -523,7 +624,11 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     posted = placed.mapInArrow(lambda batches: released(post(batches)), "bucket long, posts binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    met = posted.mapInArrow(lambda batches: released(meet(batches)), "a long, b long, shared long, may boolean, least long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", "may", "least")
+    alive = cut(posted.mapInArrow(lambda batches: released(live(batches)), f"own {fields}"), 3)
+    again = -(-(alive.agg(F.sum(F.octet_length("posts"))).first()[0] or 0) // (_POST.itemsize * BUCKET_LIVE)) or 1
+    odd = named.select("id", "sketch").mapInArrow(lambda batches: released(told(batches)), f"own {fields}")
+    dealt = alive.unionByName(odd).repartition(buckets, "own").sortWithinPartitions("own").mapInArrow(lambda batches: released(split(batches)), f"bucket {fields}")
+    met = dealt.repartition(again, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: released(meet(batches)), "a long, b long, shared long, may boolean, least long").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", "may", "least")
     summed = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.bool_or("may").alias("may"), F.min("least").alias("least"))
     pairs = cut(summed.where("may and shared >= least").select("a", "b"), 3)
     if pairs.isEmpty():

@@ -156,6 +156,40 @@ def test_posted_pairs_by_brute_force():
         assert near <= found and (near or percent == 100)
 
 
+def test_sketches_leave_every_link_open():
+    """Sets differ in no fewer shingles than sketches in bits, at equal and at twice the width; most others are told apart."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 5, 60, 64, 65, 70, 300, 520)]
+    for _ in range(200):
+        s = sets[rng.integers(len(sets))]
+        sets.append(np.unique(np.concatenate([s[rng.random(len(s)) > rng.choice([0, 0.05, 0.2, 0.5])], rng.integers(0, 1 << 63, rng.integers(1, 9), dtype=np.uint64)])))
+    x, y = (c.reshape(-1) for c in np.indices((len(sets), len(sets))))
+    apart = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)])
+    known = minhash.Sketches([minhash.sketch(s) for s in sets])
+    assert known.open(x, y, apart).all()
+    size = np.array([len(s) for s in sets])
+    fit = (np.minimum(size[x], size[y]) > 50) & (np.maximum(size[x], size[y]) <= 1.2 * np.minimum(size[x], size[y])) & (apart > 0.5 * size[x])
+    assert fit.sum() > 1000 and known.open(x, y, 0.16 * size[x])[fit].mean() < 0.01
+    assert minhash.Sketches([minhash.sketch(sets[3]), None]).open(np.array([0]), np.array([1]), np.array([0])).all()
+
+
+def test_rows_of_pairs_only_where_sketches_leave_a_link_open():
+    """Many texts of one passage that are no links give no rows of pairs, but their links do; posts that none can meet under stay behind."""
+    rng = np.random.default_rng(5)
+    words = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    passage = words(150)
+    sets = [np.unique(np.concatenate([passage, words(60)])) for _ in range(200)]
+    sets += [np.unique(np.append(s[3:], words(2))) for s in sets[:5]]
+    first = [minhash.first_shingles(s, np.zeros(0, dtype=np.uint64), 85) for s in sets]
+    posts = np.array([(x, i, i, len(sets[i]), k) for i, f in enumerate(first) for k, x in enumerate(f.tolist())], dtype=minhash._POST)
+    live = minhash._live(posts, 85)
+    assert 0 < len(live) < len(posts) and not len(minhash._live(np.unique(posts[posts["rep"] < 1]), 85))
+    met = lambda p, *more: {frozenset(q) for q in zip(*(c.tolist() for c in minhash._pairs_of_posts(p, 85, *more)[:2]), strict=True)}
+    assert met(live) == met(posts)
+    few = met(live, {i: minhash.sketch(s) for i, s in enumerate(sets)})
+    assert {frozenset((i, 200 + i)) for i in range(5)} <= few and len(few) < 10 and len(met(posts)) > 10_000
+
+
 def test_texts_that_take_no_part_are_left_out(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(-500, 1500)] + [(3, "again"), (None, "none")], "id long, text string")
     ids = spark.createDataFrame([(i,) for i in range(-40, 40, 4)] + [(3,)], "id long")
