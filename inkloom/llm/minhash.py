@@ -500,14 +500,20 @@ def _places(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def _live(posts: np.ndarray, percent: int) -> np.ndarray:
     """The posts under whose shingle documents of different components may meet; between those of a list no step in size is too large."""
-    posts = posts[np.lexsort((posts["n"], posts["shingle"]))]
     if not len(posts):
         return posts
-    n = posts["n"].astype(np.int64)
-    new = np.append(True, (posts["shingle"][1:] != posts["shingle"][:-1]) | (100 * n[:-1] < percent * n[1:]))
-    heads = np.flatnonzero(new)
-    mixed = np.minimum.reduceat(posts["whole"], heads) != np.maximum.reduceat(posts["whole"], heads)
-    return posts[np.repeat(mixed, np.diff(np.append(heads, len(posts))))]
+    order = np.lexsort((posts["n"], posts["shingle"]))
+    shingle, n = posts["shingle"][order], posts["n"][order].astype(np.int64)
+    heads = np.flatnonzero(np.append(True, (shingle[1:] != shingle[:-1]) | (100 * n[:-1] < percent * n[1:])))
+    del shingle, n
+    whole = posts["whole"][order]
+    mixed = np.minimum.reduceat(whole, heads) != np.maximum.reduceat(whole, heads)
+    return posts[order[np.repeat(mixed, np.diff(np.append(heads, len(posts))))]]
+
+
+def _joined(blobs: pa.ChunkedArray) -> np.ndarray:
+    """The posts of some blobs, copied once."""
+    return np.concatenate([np.zeros(0, dtype=_POST), *(np.frombuffer(b.as_buffer(), dtype=_POST) for b in blobs if b.is_valid)])
 
 
 def _pairs_of_posts(posts: np.ndarray, percent: int, sketches: dict[int, bytes | None] | None = None) -> list[np.ndarray]:
@@ -584,7 +590,7 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
 
     def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 1):
-            posts = _live(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent)
+            posts = _live(_joined(group.column(1)), percent)
             own = owner(posts["rep"])
             parts = {k: posts[at].tobytes() for k, at in _places(own)}
             yield rows("own", list(parts), list(parts.values()), [None] * len(parts), [None] * len(parts))
@@ -597,7 +603,7 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 1):
-            posts = np.frombuffer(b"".join(p for p in group.column(1).to_pylist() if p), dtype=_POST)
+            posts = _joined(group.column(1))
             known: dict[int, bytes | None] = {}
             for ids, odd in zip(group.column(2).to_pylist(), group.column(3).to_pylist(), strict=True):
                 for k, o in zip(ids or [], odd or [], strict=True):
@@ -609,7 +615,7 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 1):
             known = {k: o for ids, odd in zip(group.column(2).to_pylist(), group.column(3).to_pylist(), strict=True) for k, o in zip(ids, odd, strict=True)}
-            found = _pairs_of_posts(np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=_POST), percent, known)
+            found = _pairs_of_posts(_joined(group.column(1)), percent, known)
             for lo in range(0, len(found[0]), 1 << 16):
                 yield pa.record_batch([pa.array(c[lo : lo + (1 << 16)]) for c in found], names=["a", "b", "shared", "may", "least"])
 
@@ -623,7 +629,7 @@ def _missed(named: DataFrame, classes: DataFrame, found: DataFrame, texts: DataF
                 hit.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    posted = placed.mapInArrow(lambda batches: released(post(batches)), "bucket long, posts binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    posted = placed.mapInArrow(lambda batches: released(post(batches)), "bucket long, posts binary").repartition(4 * buckets, "bucket").sortWithinPartitions("bucket")  # so that few tasks hold several buckets
     alive = cut(posted.mapInArrow(lambda batches: released(live(batches)), f"own {fields}"), 3)
     again = -(-(alive.agg(F.sum(F.octet_length("posts"))).first()[0] or 0) // (_POST.itemsize * BUCKET_LIVE)) or 1
     odd = named.select("id", "sketch").mapInArrow(lambda batches: released(told(batches)), f"own {fields}")
